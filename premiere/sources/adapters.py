@@ -82,21 +82,23 @@ def fact_order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return keep_one(lines, ORDER_LINE_KEY)
 
 
-def _payload() -> Column:
-    promotion = F.when(
-        F.col("l_discount") > 0, F.create_map(F.lit("discount"), F.col("l_discount").cast("string"))
-    )
+def _payload(line: Column) -> Column:
+    discount = line["l_discount"]
     return F.struct(
-        F.col("product_id").alias("id"),
+        line["product_id"].alias("id"),
         F.lit("USD").alias("curr"),
-        F.col("title").alias("name"),
-        F.col("unit_price").alias("price"),
-        F.col("l_quantity").alias("qty"),
+        line["title"].alias("name"),
+        line["unit_price"].alias("price"),
+        line["l_quantity"].alias("qty"),
         F.lit("ea").alias("unit"),
-        promotion.alias("promotion_info"),
+        F.when(discount > 0, F.create_map(F.lit("discount"), discount.cast("string"))).alias("promotion_info"),
     )
 
 
+def _line() -> Column:
+    return F.struct("l_linenumber", "product_id", "title", "unit_price", "l_quantity", "l_discount")
+
+
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Nested orders: epoch text for even keys, ISO text for odd ones.
 
@@ -108,7 +110,8 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     nested = (
         _flat_lines(spark, folder)
         .groupBy("l_orderkey", "o_custkey", "o_orderdate")
-        .agg(F.sort_array(F.collect_list(_payload())).alias("items"))
+        .agg(F.sort_array(F.collect_list(_line())).alias("lines"))
+        .withColumn("items", F.transform("lines", _payload))
     )
     dud = F.transform(F.slice("items", 1, 1), lambda x: x.withField("qty", F.lit(0.0)))
     doubled = F.transform("items", lambda x: x.withField("qty", x["qty"] * 2))
@@ -140,7 +143,7 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_lines(spark, folder).select(
         F.col("o_custkey").alias("customer_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
-        F.to_json(_payload()).alias("product"),
+        F.to_json(_payload(_line())).alias("product"),
         F.col("title").alias("product_name"),
         F.col("p_brand").alias("product_category"),
     )
@@ -185,12 +188,12 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Events as card transactions with the user's earlier count and mean amount.
 
     Running values come from day totals plus a window inside the user's day, so no window
-    spans a busy user's whole history. Amounts are decimals: sums do not depend on order.
+    spans a busy user's whole history. Sums and means are in whole cents.
     """
     events = (
         table(spark, folder, "events")
         .select("event_id", "ts", "user_id", "event_type", "value", "props")
-        .withColumn("amount", F.col("value").cast("decimal(18,2)"))
+        .withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
         .withColumn("day", F.to_date("ts"))
     )
     before_day = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
@@ -201,7 +204,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
     days = (
         events.groupBy("user_id", "day")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("s"))
         .select(
             "user_id",
             "day",
@@ -211,13 +214,13 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
     running = (
         events.withColumn("n_day", F.count(F.lit(1)).over(in_day))
-        .withColumn("s_day", F.coalesce(F.sum("amount").over(in_day), F.lit(0)))
+        .withColumn("s_day", F.coalesce(F.sum("cents").over(in_day), F.lit(0)))
         .join(days, ["user_id", "day"])
         .withColumn("previous", (F.col("n_before") + F.col("n_day")).cast("int"))
-        .withColumn("spent", (F.col("s_before") + F.col("s_day")).cast("double"))
+        .withColumn("spent", F.col("s_before") + F.col("s_day"))
     )
     hour = F.hour("ts")
-    average = F.round(F.coalesce(F.try_divide(F.col("spent"), F.col("previous")), F.lit(0.0)), 2)
+    average = F.coalesce(F.floor(F.try_divide("spent", "previous")) / F.lit(100.0), F.lit(0.0))
     slot = F.get_json_object("props", "$.k").cast("int") % (len(risk.MERCHANT_CODES) + 1)
     merchants = F.array(*[F.lit(m) for m in (*risk.MERCHANT_CODES, "kiosk")])
     rows = running.select(
