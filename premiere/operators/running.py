@@ -75,16 +75,29 @@ def windowed_totals(
 # bucket holds about 1/buckets of all rows, equal prices of a day counted once.
 
 
-def _replay(days: np.ndarray, slots: np.ndarray, counts: np.ndarray, width: int, ask_days: np.ndarray):
-    """Cumulative counts by slot as they stood before each distinct asked day."""
-    order = np.argsort(days, kind="stable")
-    days, slots, counts = days[order], slots[order], counts[order]
+def _replay(rows: pd.DataFrame, slots: np.ndarray, width: int, ask_days: np.ndarray):
+    """Cumulative counts by slot as they stood before each asked day.
+
+    `ask_days` is sorted; yields the slice of asks of each distinct day with its counts.
+    """
+    order = np.argsort(rows["day"].to_numpy(), kind="stable")
+    days, slots, counts = rows["day"].to_numpy()[order], slots[order], rows["n"].to_numpy()[order]
+    asked, starts = np.unique(ask_days, return_index=True)
+    ends = np.append(starts[1:], len(ask_days))
     seen, held = 0, np.zeros(width, dtype=np.int64)
-    for day in np.unique(ask_days):
-        upto = np.searchsorted(days, day, side="left")
+    for upto, start, end in zip(np.searchsorted(days, asked, side="left"), starts, ends):
         np.add.at(held, slots[seen:upto], counts[seen:upto])
         seen = upto
-        yield day, np.cumsum(held)
+        yield slice(start, end), np.cumsum(held)
+
+
+def _lower(held: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Counts in the slots before the given ones."""
+    return np.where(slot > 0, held[np.maximum(slot - 1, 0)], 0)
+
+
+def _nothing(row: str) -> pd.DataFrame:
+    return pd.DataFrame(columns=[field.split()[0] for field in row.split(", ")])
 
 
 _L1_ROW = "want string, kind string, key string, day int, bucket int, rank long, below long"
@@ -92,30 +105,25 @@ _L1_ROW = "want string, kind string, key string, day int, bucket int, rank long,
 
 def _first_level(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
     """Median asks learn their bucket and rank in it, place asks the rows in lower buckets."""
-    out: list[pd.DataFrame] = []
-    if len(rows) and len(asks):
-        buckets = np.unique(rows["bucket"].to_numpy())
-        slots = np.searchsorted(buckets, rows["bucket"].to_numpy())
-        by_day = dict(list(asks.groupby("day")))
-        stand = _replay(
-            rows["day"].to_numpy(), slots, rows["n"].to_numpy(), len(buckets), asks["day"].to_numpy()
-        )
-        for day, held in stand:
-            if held[-1] == 0:
-                continue
-            ask = by_day[day]
-            median = (ask["want"] == "median").to_numpy()
-            if median.any():
-                rank = (held[-1] + 1) // 2
-                at = int(np.searchsorted(held, rank))
-                below = held[at - 1] if at else 0
-                out.append(ask[median].assign(bucket=buckets[at], rank=rank - below, below=0))
-            if not median.all():
-                place = ask[~median]
-                at = np.searchsorted(buckets, place["bucket"].to_numpy())
-                out.append(place.assign(rank=0, below=np.where(at > 0, held[np.maximum(at - 1, 0)], 0)))
-    columns = ["want", "kind", "key", "day", "bucket", "rank", "below"]
-    return pd.concat(out)[columns] if out else pd.DataFrame(columns=columns)
+    if not len(rows) or not len(asks):
+        return _nothing(_L1_ROW)
+    asks = asks.sort_values("day", kind="stable")
+    median = (asks["want"] == "median").to_numpy()
+    bucket = asks["bucket"].to_numpy().copy()
+    rank, below = np.zeros(len(asks), dtype=np.int64), np.zeros(len(asks), dtype=np.int64)
+    answered = np.zeros(len(asks), dtype=bool)
+    buckets, slots = np.unique(rows["bucket"].to_numpy(), return_inverse=True)
+    for part, held in _replay(rows, slots, len(buckets), asks["day"].to_numpy()):
+        if held[-1] == 0:
+            continue
+        answered[part] = True
+        middle = (held[-1] + 1) // 2
+        slot = np.where(median[part], np.searchsorted(held, middle), np.searchsorted(buckets, bucket[part]))
+        lower = _lower(held, slot)
+        bucket[part] = np.where(median[part], buckets[np.minimum(slot, len(buckets) - 1)], bucket[part])
+        rank[part] = np.where(median[part], middle - lower, 0)
+        below[part] = np.where(median[part], 0, lower)
+    return asks.assign(bucket=bucket, rank=rank, below=below)[answered]
 
 
 _L2_ROW = "want string, kind string, key string, day int, price double, median double, not_above long"
@@ -123,26 +131,34 @@ _L2_ROW = "want string, kind string, key string, day int, price double, median d
 
 def _second_level(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
     """The price at a rank of the bucket, or the bucket's rows priced no higher."""
-    out: list[pd.DataFrame] = []
-    if len(asks):
-        prices = np.unique(rows["price"].to_numpy())
-        slots = np.searchsorted(prices, rows["price"].to_numpy())
-        by_day = dict(list(asks.groupby("day")))
-        stand = _replay(
-            rows["day"].to_numpy(), slots, rows["n"].to_numpy(), len(prices), asks["day"].to_numpy()
-        )
-        for day, held in stand:
-            ask = by_day[day]
-            median = (ask["want"] == "median").to_numpy()
-            value = np.full(len(ask), np.nan)
-            count = ask["below"].to_numpy().copy()
-            if len(prices):
-                value[median] = prices[np.searchsorted(held, ask["rank"].to_numpy()[median])]
-                at = np.searchsorted(prices, ask["price"].to_numpy()[~median], side="right")
-                count[~median] += np.where(at > 0, held[np.maximum(at - 1, 0)], 0)
-            out.append(ask.assign(median=value, not_above=count))
+    if not len(asks):
+        return _nothing(_L2_ROW)
+    asks = asks.sort_values("day", kind="stable")
+    median = (asks["want"] == "median").to_numpy()
+    rank, price = asks["rank"].to_numpy(), asks["price"].to_numpy()
+    found, count = np.full(len(asks), np.nan), asks["below"].to_numpy().copy()
+    if len(rows):
+        prices, slots = np.unique(rows["price"].to_numpy(), return_inverse=True)
+        for part, held in _replay(rows, slots, len(prices), asks["day"].to_numpy()):
+            m = median[part]
+            found[part][m] = prices[np.searchsorted(held, rank[part][m])]
+            count[part][~m] += _lower(held, np.searchsorted(prices, price[part][~m], side="right"))
     columns = ["want", "kind", "key", "day", "price", "median", "not_above"]
-    return pd.concat(out)[columns] if out else pd.DataFrame(columns=columns)
+    return asks.assign(median=found, not_above=count)[columns]
+
+
+def cogroup_on(left: DataFrame, right: DataFrame, keys: list[str]):
+    """Cogroup two frames that may come from one table.
+
+    The right side is renamed onto itself first: with attributes shared between the sides,
+    Spark 4.1 may prune a column of the right side that the function still needs.
+    """
+    own = right.select(*[F.col(c).alias(c) for c in right.columns])
+    # A given number of partitions is not coalesced: the groups are few bytes but much work.
+    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        left.repartition(spread, *keys).groupBy(*keys).cogroup(own.repartition(spread, *keys).groupBy(*keys))
+    )
 
 
 def price_edges(rows: DataFrame, bucket_rows: int, max_buckets: int) -> list[float]:
@@ -188,20 +204,9 @@ def price_standing(
         .select(F.lit("median").alias("want"), *at, F.lit(-1).alias("bucket"))
         .unionByName(priced.select(F.lit("place").alias("want"), *at, "bucket").distinct())
     )
-    first = (
-        coarse.groupBy("kind", "key")
-        .cogroup(first_asks.groupBy("kind", "key"))
-        .applyInPandas(_first_level, _L1_ROW)
-    )
-    second_asks = first.join(
-        priced.withColumn("want", F.lit("place")), ["want", *at, "bucket"], "left"
-    )
-    answers = (
-        fine.groupBy("kind", "key", "bucket")
-        .cogroup(second_asks.groupBy("kind", "key", "bucket"))
-        .applyInPandas(_second_level, _L2_ROW)
-    )
-    return answers
+    first = cogroup_on(coarse, first_asks, ["kind", "key"]).applyInPandas(_first_level, _L1_ROW)
+    second_asks = first.join(priced.withColumn("want", F.lit("place")), ["want", *at, "bucket"], "left")
+    return cogroup_on(fine, second_asks, ["kind", "key", "bucket"]).applyInPandas(_second_level, _L2_ROW)
 
 
 def split_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from premiere.config import DemandConfig
 from premiere.functions import dates
+from premiere.operators.running import cogroup_on
 from premiere.session import materialise
 
 # Sort positions below every real similarity: no vector on one side, and no result yet.
@@ -180,48 +181,57 @@ def _block_stats(blocked: DataFrame) -> pd.DataFrame:
     )
 
 
+_FOUND = "vector_key string, day int, analog_id string, similarity double"
+
+
 def _search(k: int, digits: int):
     """Kernel: the k best candidates of one block for one chunk of queries."""
+    tie = 2 * 10.0**-digits
+
+    nothing = pd.DataFrame(columns=["vector_key", "day", "analog_id", "similarity"])
 
     def run(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(block):
-            return pd.DataFrame(columns=["vector_key", "day", "found"])
-        block = block.sort_values("product_id", kind="stable")
-        ids = block["product_id"].to_numpy()
-        days = block["day"].to_numpy()
+            return nothing
+        queries = queries.sort_values("day", kind="stable")
+        block = block.sort_values("day", kind="stable")
+        ids, days = block["product_id"].to_numpy(), block["day"].to_numpy()
+        id_rank = np.empty(len(ids), dtype=np.int64)
+        id_rank[np.argsort(ids)] = np.arange(len(ids))
         theirs, _, their_missing = _unit_rows(block["vector"])
         ours, _, our_missing = _unit_rows(queries["vector"])
-        asked = queries["day"].to_numpy()
-        floor = queries["floor"].to_numpy()
-        found: list[list[dict]] = []
+        comparable = ours.shape[1] == theirs.shape[1]
+        asked, floor = queries["day"].to_numpy(), queries["floor"].to_numpy()
+        picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for start in range(0, len(queries), _SUB_ROWS):
             part = slice(start, start + _SUB_ROWS)
-            if ours.shape[1] == theirs.shape[1]:
-                s = np.round(ours[part] @ theirs.T, digits) + 0.0
-            else:
-                s = np.zeros((len(asked[part]), len(ids)))
+            # Both sides are in day order: what opens after the last asked day is cut off.
+            width = int(np.searchsorted(days, asked[part][-1], side="right"))
+            if not width:
+                continue
+            s = ours[part] @ theirs[:width].T if comparable else np.zeros((len(asked[part]), width))
             s[our_missing[part]] = _UNKNOWN
-            s[:, their_missing] = _UNKNOWN
-            s[days[None, :] > asked[part][:, None]] = _NOTHING
-            s[s < floor[part][:, None]] = _NOTHING
-            bar = np.partition(s, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(s), _UNKNOWN)
-            rows, columns = np.nonzero(s >= np.maximum(bar, _UNKNOWN)[:, None])
-            values = s[rows, columns]
-            order = np.lexsort((columns, -values, rows))
+            s[:, their_missing[:width]] = _UNKNOWN
+            s[days[None, :width] > asked[part][:, None]] = _NOTHING
+            bar = np.maximum(floor[part], _UNKNOWN)
+            if width > k:
+                bar = np.maximum(bar, np.partition(s, width - k, axis=1)[:, width - k])
+            # Whatever may tie after rounding stays in, then rounding and ids decide.
+            rows, columns = np.nonzero(s >= bar[:, None] - tie)
+            values = np.round(s[rows, columns], digits) + 0.0
+            order = np.lexsort((id_rank[columns], -values, rows))
             rows, columns, values = rows[order], columns[order], values[order]
-            starts = np.searchsorted(rows, np.arange(len(s) + 1))
-            for i in range(len(s)):
-                best = range(starts[i], min(starts[i] + k, starts[i + 1]))
-                found.append([{"id": ids[columns[j]], "similarity": float(values[j])} for j in best])
-        out = queries[["vector_key", "day"]].assign(found=found)
-        return out[out["found"].map(len) > 0]
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+            picked.append((rows[place < k] + start, columns[place < k], values[place < k]))
+        if not picked:
+            return nothing
+        rows, columns, values = (np.concatenate(x) for x in zip(*picked))
+        found = queries[["vector_key", "day"]].iloc[rows]
+        return found.assign(analog_id=ids[columns], similarity=values)
 
     return run
 
 
-_FOUND = "vector_key string, day int, found array<struct<id string, similarity double>>"
-
-
 def _chunked(asked: DataFrame, cfg: DemandConfig, total: int) -> tuple[DataFrame, DataFrame]:
     """Split each block's queries into chunks. Returns the queries and one row per (block, chunk)."""
     size = max(cfg.chunk_rows, -(-total // cfg.max_blocks))
@@ -237,11 +247,8 @@ def _search_blocks(asked: DataFrame, blocked: DataFrame, cfg: DemandConfig, tota
     split, chunks = _chunked(asked, cfg, total)
     copies = blocked.select("block", "product_id", "day", "vector").join(F.broadcast(chunks), "block")
     copies = copies.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
-    return (
-        split.groupBy("block", "chunk")
-        .cogroup(copies.groupBy("block", "chunk"))
-        .applyInPandas(_search(cfg.top_k, cfg.similarity_digits), _FOUND)
-    )
+    kernel = _search(cfg.top_k, cfg.similarity_digits)
+    return cogroup_on(split, copies, ["block", "chunk"]).applyInPandas(kernel, _FOUND)
 
 
 def _plan_first(points: DataFrame, blocks: _Blocks, columns: str) -> DataFrame:
@@ -295,8 +302,8 @@ def similar_launches(queries: DataFrame, history: DataFrame, cfg: DemandConfig)
     found = materialise(_search_blocks(asked, blocked, cfg, rows), "similarity-first")
     lists = found
     if len(blocks.ids) > 1:
-        kth = F.when(F.size("found") >= k, F.element_at("found", k)["similarity"]).otherwise(F.lit(_NOTHING))
-        floors = found.select("vector_key", "day", kth.alias("kth"))
+        kth = F.when(F.count(F.lit(1)) >= k, F.min("similarity")).otherwise(F.lit(_NOTHING))
+        floors = found.groupBy("vector_key", "day").agg(kth.alias("kth"))
         begun = (
             asked.drop("floor")
             .join(floors, ["vector_key", "day"], "left")
@@ -306,8 +313,7 @@ def similar_launches(queries: DataFrame, history: DataFrame, cfg: DemandConfig)
         lists = found.unionByName(_search_blocks(rest, blocked, cfg, rows))
     best = Window.partitionBy("vector_key", "day").orderBy(F.col("similarity").desc(), F.col("analog_id"))
     return (
-        lists.select("vector_key", "day", F.inline("found").alias("analog_id", "similarity"))
-        .withColumn("rank", F.row_number().over(best))
+        lists.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
         .withColumn("similarity", F.when(F.col("similarity") > _UNKNOWN, F.col("similarity")))
     )

@@ -35,7 +35,7 @@ _DIGITS = {"unit_price": 9, "launch_price": 9, "analog_demand_dispersion": 4}
 
 
 def _r(x: str, name: str, digits: int = 6) -> str:
-    digits = min(digits, 4) if digits < 6 else _DIGITS.get(name, digits)
+    digits = _DIGITS.get(name, digits) if digits == 6 else digits
     return f"round(CAST({x} AS DOUBLE), {digits}) + 0.0::DOUBLE AS {name}"
 
 
