@@ -57,7 +57,8 @@ class DemandConfig:
     # never outgrows it.
     median_accuracy: int = 1_000_000
     similarity_digits: int = 9
-    block_rows: int = 8192
+    # A block is searched by one task; larger blocks move less, smaller ones prune better.
+    block_rows: int = 32768
     chunk_rows: int = 2048
     max_pivots: int = 512
     max_blocks: int = 8192

@@ -33,7 +33,9 @@ from premiere.session import materialise
 _UNKNOWN, _NOTHING = -2.0, -3.0
 # Angles lose about half the digits near 0; bounds are widened by this before pruning.
 _SLACK = 1e-6
-_SUB_ROWS = 256
+_SUB_ROWS = 128
+# Planned (query, block) rows are handed on in batches of this size.
+_PLAN_ROWS = 8192
 
 
 def _available_day(cfg: DemandConfig) -> Column:
@@ -281,8 +283,9 @@ def _plan_rest(first: DataFrame, blocks: _Blocks, k: int, columns: str) -> DataF
                 useful &= blocks.opens[None, :] <= part["day"].to_numpy()[:, None]
                 useful &= blocks.ids[None, :] != part["block"].to_numpy()[:, None]
                 rows, at = np.nonzero(useful)
-                if len(rows):
-                    yield part.iloc[rows].assign(block=blocks.ids[at])
+                for i in range(0, len(rows), _PLAN_ROWS):
+                    batch = slice(i, i + _PLAN_ROWS)
+                    yield part.iloc[rows[batch]].assign(block=blocks.ids[at[batch]])
 
     return first.mapInPandas(run, columns)
 

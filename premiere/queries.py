@@ -502,11 +502,10 @@ def stream_product_scores(spark: SparkSession, folder: str) -> DataFrame:
         materialise(_split(spark, folder), "split-features"), TrainingConfig(loss="mse", max_iter=10)
     )
     known = adapters.product_vectors(spark, folder)
+    lines, launches = fact(spark, folder), launched(spark, folder)
 
     def score(batch: DataFrame) -> DataFrame:
-        wide = features.new_product_features(
-            batch, launched(spark, folder), fact(spark, folder), DEMAND, vectors=known
-        )
+        wide = features.new_product_features(batch, launches, lines, DEMAND, vectors=known)
         names = [f"prediction_{h}" for h in (*metrics.HORIZONS, "3m_total")]
         return model.predict(wide).select("product_id", *names)
 
