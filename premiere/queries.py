@@ -43,6 +43,11 @@ def _stage(spark: SparkSession, folder: str, name: str, build: Callable[[], Data
     return _STAGES[key]
 
 
+def forget_stages() -> None:
+    """Make the next query write its stages again."""
+    _STAGES.clear()
+
+
 def fact(spark: SparkSession, folder: str) -> DataFrame:
     return _stage(spark, folder, "fact-order-line", lambda: adapters.fact_order_lines(spark, folder))
 
