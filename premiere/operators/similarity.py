@@ -17,8 +17,6 @@ last bits of a matrix product cannot reorder equal vectors.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -26,18 +24,10 @@ from pyspark.sql import functions as F
 
 from premiere.config import DemandConfig
 from premiere.functions import dates
+from premiere.operators import kernels
 from premiere.operators.running import cogroup_on
 from premiere.session import materialise
 
-# Sort positions below every real similarity: no vector on one side, and no result yet.
-_UNKNOWN, _NOTHING = -2.0, -3.0
-# Angles lose about half the digits near 0; bounds are widened by this before pruning.
-_SLACK = 1e-6
-_SUB_ROWS = 128
-# Planned (query, block) rows are handed on in batches of this size.
-_PLAN_ROWS = 8192
-
-
 def _available_day(cfg: DemandConfig) -> Column:
     """First day on which a launch may serve as an analog."""
     if cfg.require_matured:
@@ -72,70 +62,10 @@ def _candidates(history: DataFrame, cfg: DemandConfig) -> DataFrame:
     )
 
 
-def _unit_rows(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Unit rows in double precision, with masks of the zero and of the missing vectors."""
-    missing = vectors.isna().to_numpy()
-    if missing.all():
-        return np.zeros((len(vectors), 0)), np.zeros(len(vectors), bool), missing
-    size = len(vectors[~missing].iloc[0])
-    rows = np.zeros((len(vectors), size))
-    rows[~missing] = np.stack(vectors[~missing].to_numpy())
-    length = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-    zero = (length == 0) & ~missing
-    return rows / np.where(length == 0, 1.0, length)[:, None], zero, missing
-
-
-class _Pivots:
-    """Pivot vectors; two extra cells hold the zero and the missing vectors."""
-
-    def __init__(self, rows: np.ndarray):
-        self.rows = rows
-        self.zero_cell = len(rows)
-        self.missing_cell = len(rows) + 1
-
-    def angles(self, unit: np.ndarray) -> np.ndarray:
-        if not self.rows.size or unit.shape[1] != self.rows.shape[1]:
-            return np.full((len(unit), len(self.rows)), np.pi / 2)
-        return np.arccos(np.clip(unit @ self.rows.T, -1.0, 1.0))
-
-    def cells(self, vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-        unit, zero, missing = _unit_rows(vectors)
-        angle = self.angles(unit)
-        cell = angle.argmin(axis=1) if len(self.rows) else np.zeros(len(unit), dtype=int)
-        near = angle[np.arange(len(unit)), cell] if len(self.rows) else np.zeros(len(unit))
-        cell = np.where(zero, self.zero_cell, np.where(missing, self.missing_cell, cell))
-        return cell.astype(np.int32), near
-
-
-class _Blocks:
-    """What is known of each block; at most max_pivots + 2 + max_blocks entries."""
-
-    def __init__(self, pivots: _Pivots, stats: pd.DataFrame):
-        self.pivots = pivots
-        self.ids = stats["block"].to_numpy()
-        self.cell = stats["cell"].to_numpy()
-        self.low, self.high = stats["low"].to_numpy(), stats["high"].to_numpy()
-        self.opens = stats["opens"].to_numpy()
-
-    def ceilings(self, vectors: pd.Series) -> np.ndarray:
-        """Best similarity each block could offer each query."""
-        unit, zero, missing = _unit_rows(vectors)
-        real = self.cell < self.pivots.zero_cell
-        out = np.empty((len(vectors), len(self.ids)))
-        angle = self.pivots.angles(unit)[:, self.cell[real]]
-        nearest = np.maximum(0.0, np.maximum(angle - self.high[real], self.low[real] - angle))
-        out[:, real] = np.cos(nearest)
-        out[zero] = 0.0
-        out[:, self.cell == self.pivots.zero_cell] = 0.0
-        out[missing] = _UNKNOWN
-        out[:, self.cell == self.pivots.missing_cell] = _UNKNOWN
-        return out
-
-
-def _pick_pivots(candidates: DataFrame, count: int) -> _Pivots:
+def _pick_pivots(candidates: DataFrame, count: int) -> kernels.Pivots:
     """Distinct vectors with the smallest keys; keys are digests, so this is an even sample."""
     if count <= 1:
-        return _Pivots(np.zeros((0, 0)))
+        return kernels.Pivots(np.zeros((0, 0)))
     sample = (
         candidates.filter(F.col("vector").isNotNull())
         .groupBy("vector_key")
@@ -144,25 +74,20 @@ def _pick_pivots(candidates: DataFrame, count: int) -> _Pivots:
         .limit(count)
         .toPandas()
     )
-    unit, zero, _ = _unit_rows(sample["vector"]) if len(sample) else (np.zeros((0, 0)), np.zeros(0, bool), None)
-    return _Pivots(unit[~zero])
+    unit, zero, _ = kernels.unit_rows(sample["vector"]) if len(sample) else (np.zeros((0, 0)), np.zeros(0, bool), None)
+    return kernels.Pivots(unit[~zero])
 
 
 def _type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def _blocked(candidates: DataFrame, pivots: _Pivots, rows: int, cfg: DemandConfig) -> DataFrame:
+def _blocked(candidates: DataFrame, pivots: kernels.Pivots, rows: int, cfg: DemandConfig) -> DataFrame:
     """Candidates with their block. A block never outgrows about `size` rows."""
     vector_type = _type_of(candidates, "vector")
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            cell, angle = pivots.cells(pdf["vector"])
-            yield pdf[["product_id", "day", "vector"]].assign(cell=cell, angle=angle)
-
     celled = candidates.mapInPandas(
-        assign, f"product_id string, day int, vector {vector_type}, cell int, angle double"
+        kernels.assign_cells(pivots), f"product_id string, day int, vector {vector_type}, cell int, angle double"
     )
     celled = materialise(celled, "similarity-cells")
     size = max(cfg.block_rows, -(-rows // cfg.max_blocks))
@@ -183,57 +108,6 @@ def _block_stats(blocked: DataFrame) -> pd.DataFrame:
     )
 
 
-_FOUND = "vector_key string, day int, analog_id string, similarity double"
-
-
-def _search(k: int, digits: int):
-    """Kernel: the k best candidates of one block for one chunk of queries."""
-    tie = 2 * 10.0**-digits
-
-    nothing = pd.DataFrame(columns=["vector_key", "day", "analog_id", "similarity"])
-
-    def run(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(block):
-            return nothing
-        queries = queries.sort_values("day", kind="stable")
-        block = block.sort_values("day", kind="stable")
-        ids, days = block["product_id"].to_numpy(), block["day"].to_numpy()
-        id_rank = np.empty(len(ids), dtype=np.int64)
-        id_rank[np.argsort(ids)] = np.arange(len(ids))
-        theirs, _, their_missing = _unit_rows(block["vector"])
-        ours, _, our_missing = _unit_rows(queries["vector"])
-        comparable = ours.shape[1] == theirs.shape[1]
-        asked, floor = queries["day"].to_numpy(), queries["floor"].to_numpy()
-        picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for start in range(0, len(queries), _SUB_ROWS):
-            part = slice(start, start + _SUB_ROWS)
-            # Both sides are in day order: what opens after the last asked day is cut off.
-            width = int(np.searchsorted(days, asked[part][-1], side="right"))
-            if not width:
-                continue
-            s = ours[part] @ theirs[:width].T if comparable else np.zeros((len(asked[part]), width))
-            s[our_missing[part]] = _UNKNOWN
-            s[:, their_missing[:width]] = _UNKNOWN
-            s[days[None, :width] > asked[part][:, None]] = _NOTHING
-            bar = np.maximum(floor[part], _UNKNOWN)
-            if width > k:
-                bar = np.maximum(bar, np.partition(s, width - k, axis=1)[:, width - k])
-            # Whatever may tie after rounding stays in, then rounding and ids decide.
-            rows, columns = np.nonzero(s >= bar[:, None] - tie)
-            values = np.round(s[rows, columns], digits) + 0.0
-            order = np.lexsort((id_rank[columns], -values, rows))
-            rows, columns, values = rows[order], columns[order], values[order]
-            place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-            picked.append((rows[place < k] + start, columns[place < k], values[place < k]))
-        if not picked:
-            return nothing
-        rows, columns, values = (np.concatenate(x) for x in zip(*picked))
-        found = queries[["vector_key", "day"]].iloc[rows]
-        return found.assign(analog_id=ids[columns], similarity=values)
-
-    return run
-
-
 def _chunked(asked: DataFrame, cfg: DemandConfig, total: int) -> tuple[DataFrame, DataFrame]:
     """Split each block's queries into chunks. Returns the queries and one row per (block, chunk)."""
     size = max(cfg.chunk_rows, -(-total // cfg.max_blocks))
@@ -249,45 +123,12 @@ def _search_blocks(asked: DataFrame, blocked: DataFrame, cfg: DemandConfig, tota
     split, chunks = _chunked(asked, cfg, total)
     copies = blocked.select("block", "product_id", "day", "vector").join(F.broadcast(chunks), "block")
     copies = copies.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
-    kernel = _search(cfg.top_k, cfg.similarity_digits)
-    return cogroup_on(split, copies, ["block", "chunk"]).applyInPandas(kernel, _FOUND)
-
-
-def _plan_first(points: DataFrame, blocks: _Blocks, columns: str) -> DataFrame:
-    """The most promising block that is open on the query's day; none means no analogs."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for start in range(0, len(pdf), 4 * _SUB_ROWS):
-                part = pdf.iloc[start : start + 4 * _SUB_ROWS]
-                best = blocks.ceilings(part["vector"])
-                # Of equally promising blocks, the one that opened first has most to offer.
-                best = best - 1e-9 * np.argsort(np.argsort(blocks.opens, kind="stable"), kind="stable")[None, :]
-                best[blocks.opens[None, :] > part["day"].to_numpy()[:, None]] = -np.inf
-                at = best.argmax(axis=1)
-                open_ = np.isfinite(best[np.arange(len(part)), at])
-                yield part.assign(block=blocks.ids[at], floor=_NOTHING)[open_]
-
-    return points.mapInPandas(run, columns)
-
-
-def _plan_rest(first: DataFrame, blocks: _Blocks, k: int, columns: str) -> DataFrame:
-    """All further blocks that could still beat or tie the k-th best similarity."""
+    kernel = kernels.search(cfg.top_k, cfg.similarity_digits)
+    return cogroup_on(split, copies, ["block", "chunk"]).applyInPandas(kernel, kernels.FOUND_ROW)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for start in range(0, len(pdf), 4 * _SUB_ROWS):
-                part = pdf.iloc[start : start + 4 * _SUB_ROWS]
-                floor = part["floor"].to_numpy()
-                useful = blocks.ceilings(part["vector"]) >= floor[:, None] - _SLACK
-                useful &= blocks.opens[None, :] <= part["day"].to_numpy()[:, None]
-                useful &= blocks.ids[None, :] != part["block"].to_numpy()[:, None]
-                rows, at = np.nonzero(useful)
-                for i in range(0, len(rows), _PLAN_ROWS):
-                    batch = slice(i, i + _PLAN_ROWS)
-                    yield part.iloc[rows[batch]].assign(block=blocks.ids[at[batch]])
 
-    return first.mapInPandas(run, columns)
+def _plan_rest(begun: DataFrame, blocks: kernels.Blocks, columns: str) -> DataFrame:
+    return begun.mapInPandas(kernels.further_blocks(blocks), columns)
 
 
 def similar_launches(queries: DataFrame, history: DataFrame, cfg: DemandConfig) -> DataFrame:
@@ -298,25 +139,25 @@ def similar_launches(queries: DataFrame, history: DataFrame, cfg: DemandConfig)
     rows = history.count()
     pivots = _pick_pivots(candidates, min(cfg.max_pivots, rows // cfg.block_rows))
     blocked = _blocked(candidates, pivots, rows, cfg)
-    blocks = _Blocks(pivots, _block_stats(blocked))
+    blocks = kernels.Blocks(pivots, _block_stats(blocked))
 
     columns = f"vector_key string, day int, vector {_type_of(points, 'vector')}, block int, floor double"
-    asked = materialise(_plan_first(points, blocks, columns), "similarity-points")
+    asked = materialise(points.mapInPandas(kernels.first_block(blocks), columns), "similarity-points")
     found = materialise(_search_blocks(asked, blocked, cfg, rows), "similarity-first")
     lists = found
     if len(blocks.ids) > 1:
-        kth = F.when(F.count(F.lit(1)) >= k, F.min("similarity")).otherwise(F.lit(_NOTHING))
+        kth = F.when(F.count(F.lit(1)) >= k, F.min("similarity")).otherwise(F.lit(kernels.NOTHING))
         floors = found.groupBy("vector_key", "day").agg(kth.alias("kth"))
         begun = (
             asked.drop("floor")
             .join(floors, ["vector_key", "day"], "left")
-            .select("vector_key", "day", "vector", "block", F.coalesce("kth", F.lit(_NOTHING)).alias("floor"))
+            .select("vector_key", "day", "vector", "block", F.coalesce("kth", F.lit(kernels.NOTHING)).alias("floor"))
         )
-        rest = materialise(_plan_rest(begun, blocks, k, columns), "similarity-rest")
+        rest = materialise(_plan_rest(begun, blocks, columns), "similarity-rest")
         lists = found.unionByName(_search_blocks(rest, blocked, cfg, rows))
     best = Window.partitionBy("vector_key", "day").orderBy(F.col("similarity").desc(), F.col("analog_id"))
     return (
         lists.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
-        .withColumn("similarity", F.when(F.col("similarity") > _UNKNOWN, F.col("similarity")))
+        .withColumn("similarity", F.when(F.col("similarity") > kernels.UNKNOWN, F.col("similarity")))
     )

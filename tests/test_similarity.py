@@ -73,7 +73,7 @@ def next_day(d):
 
 @pytest.mark.parametrize(
     "clustered, block_rows, same",
-    [(False, 100_000, True), (False, 40, True), (True, 20, True), (True, 20, False)],
+    [(False, 100_000, True), (False, 140, True), (False, 40, True), (True, 20, True), (True, 20, False)],
 )
 def test_top_k_equals_brute_force(spark, clustered, block_rows, same):
     known = products(260, "h", 1, clustered)
@@ -106,8 +106,8 @@ def test_copies_shrink_and_far_blocks_are_skipped(spark, monkeypatch):
     planned = []
     plan = similarity._plan_rest
 
-    def watch(first, blocks, k, columns):
-        rest = plan(first, blocks, k, columns)
+    def watch(first, blocks, columns):
+        rest = plan(first, blocks, columns)
         planned.append((rest.count(), first.count() * (len(blocks.ids) - 1)))
         return rest
 
