@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: leading hex digits of a digest that form a bucket, so 4096 buckets.
-_PREFIX = 3
+# Leading hex digits of a digest that form a bucket: 65,536 buckets.
+_PREFIX = 4
 
 
 def seeded_digest(seed: int, key: str) -> Column:
@@ -22,7 +22,7 @@ def digest_position(df: DataFrame, digest: str, keys: list[str], out: str) -> Da
     """
     bucketed = df.withColumn("__bucket", F.substring(digest, 1, _PREFIX))
     lower = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 4096 rows per group.
+    # At most 65,536 rows per group.
     offsets = (
         bucketed.groupBy(*keys, "__bucket")
         .agg(F.count(F.lit(1)).alias("__n"))

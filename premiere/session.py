@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -47,26 +48,32 @@ def scratch_dir(spark: SparkSession) -> str:
     return own
 
 
-# Paths handed out inside the innermost scratch_scope, if any.
-_open_scopes: list[list[str]] = []
+class _Scopes(threading.local):
+    """Per thread: the paths handed out inside each open scratch_scope."""
+
+    def __init__(self) -> None:
+        self.paths: list[list[str]] = []
+
+
+_scopes = _Scopes()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    if _scopes.paths:
+        _scopes.paths[-1].append(path)
     return path
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Drop the stages written inside the block; for jobs that run without end."""
-    _open_scopes.append([])
+    """Drop the stages this thread writes inside the block; for jobs that run without end."""
+    _scopes.paths.append([])
     try:
         yield
     finally:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _open_scopes.pop():
+        for path in _scopes.paths.pop():
             target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(conf).delete(target, True)
 
