@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiere.llm import chat_format, exact_dedup
+from premiere.llm import bpe, chat_format, exact_dedup, packing
 from premiere.llm.common import id_remainder, table
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    coded = bpe.encode_texts(table(spark, sf_dir, "documents"), decode=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; the half with an even remainder of its id is the history."""
     old = id_remainder(F.col("doc_id"), 2) == 0
@@ -28,8 +39,13 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_chats(given.unionByName(own)))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2,048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_exact_dedup, op8_chat_format)}
+    return {f.__name__: f for f in (op3_bpe, op6_exact_dedup, op8_chat_format, op9_best_fit_packing)}
 
 
 EXACT_DEDUP_SQL = r"""
