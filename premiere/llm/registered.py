@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiere.llm import bpe, chat_format, exact_dedup, packing
+from premiere.llm import bpe, chat_format, exact_dedup, packing, simhash
 from premiere.llm.common import id_remainder, table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded."""
     coded = bpe.encode_texts(table(spark, sf_dir, "documents"), decode=True)
@@ -45,7 +50,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe, op6_exact_dedup, op8_chat_format, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_simhash, op3_bpe, op6_exact_dedup, op8_chat_format, op9_best_fit_packing)}
 
 
 EXACT_DEDUP_SQL = r"""
