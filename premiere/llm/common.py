@@ -36,6 +36,11 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, also where it is used inside a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
 def id_remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(parts)
@@ -49,7 +54,9 @@ def texts(column: pa.Array) -> list[bytes]:
 HOT_SHARE = 1000
 
 
-def join_spread(rows: DataFrame, groups: DataFrame, key: str, size: str, salts: int = 64) -> DataFrame:
+def join_spread(
+    rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, salts: int = 64
+) -> DataFrame:
     """Inner equi-join of many rows with one row per key, hot keys spread over salts.
 
     `size` is the column of `groups` that counts a key's rows. Keys with over a thousandth of all
@@ -57,11 +64,12 @@ def join_spread(rows: DataFrame, groups: DataFrame, key: str, size: str, salts:
     is broadcast. Their rows draw a salt from all their columns: the answer does not depend on the
     order of tasks. `groups` should be a written table, it is read three times.
     """
+    keys = [key] if isinstance(key, str) else key
     total = groups.agg(F.sum(size)).first()[0] or 0
     hot = F.col(size) > max(10_000, total // HOT_SHARE)
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     spread = groups.withColumn("_salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
-    heavy = groups.filter(hot).select(key, F.lit(True).alias("_hot"))
+    heavy = groups.filter(hot).select(*keys, F.lit(True).alias("_hot"))
     own = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    drawn = rows.join(F.broadcast(heavy), key, "left").withColumn("_salt", F.when(F.col("_hot"), own).otherwise(0))
-    return drawn.drop("_hot").join(spread, [key, "_salt"]).drop("_salt")
+    drawn = rows.join(F.broadcast(heavy), keys, "left").withColumn("_salt", F.when(F.col("_hot"), own).otherwise(0))
+    return drawn.drop("_hot").join(spread, [*keys, "_salt"]).drop("_salt")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiere.llm import bpe, chat_format, exact_dedup, packing, simhash
+from premiere.llm import bpe, chat_format, exact_dedup, line_dedup, packing, simhash
 from premiere.llm.common import id_remainder, table
 
 
@@ -27,6 +27,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later copies of runs of lines."""
+    left = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "deleted_lines", F.length("text").alias("left_chars"), F.md5(F.col("text").cast("binary")).alias("left_md5"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; the half with an even remainder of its id is the history."""
     old = id_remainder(F.col("doc_id"), 2) == 0
@@ -50,7 +56,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_bpe, op6_exact_dedup, op8_chat_format, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_simhash, op3_bpe, op4_line_dedup, op6_exact_dedup, op8_chat_format, op9_best_fit_packing)}
 
 
 EXACT_DEDUP_SQL = r"""
@@ -81,6 +87,42 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+LINE_DEDUP_SQL = r"""
+WITH raw AS (
+    SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, text, string_split(text, chr(10)) AS l FROM documents
+), pieces AS (
+    SELECT r, doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM raw
+), lines AS (
+    SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+           row_number() OVER (PARTITION BY r ORDER BY pos) AS i
+    FROM pieces WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), sums AS (
+    SELECT *, sum(words) OVER (PARTITION BY r ORDER BY i) AS upto, sum(words) OVER (PARTITION BY r ORDER BY i) - words AS before
+    FROM lines
+), bounds AS (
+    SELECT a.r, a.i AS i1, min(b.i) AS i2 FROM sums a JOIN sums b ON a.r = b.r AND b.i >= a.i AND b.upto - a.before >= 50
+    GROUP BY a.r, a.i
+    UNION
+    SELECT b.r, max(a.i), b.i FROM sums a JOIN sums b ON a.r = b.r AND b.i >= a.i AND b.upto - a.before >= 50
+    GROUP BY b.r, b.i
+), runs AS (
+    SELECT w.r, w.i1, w.i2, md5(string_agg(s.line, chr(10) ORDER BY s.i)) AS h
+    FROM bounds w JOIN sums s ON s.r = w.r AND s.i BETWEEN w.i1 AND w.i2 GROUP BY w.r, w.i1, w.i2
+), copies AS (
+    SELECT *, row_number() OVER (PARTITION BY h, i2 - i1 ORDER BY r, i1) AS k FROM runs
+), gone AS (
+    SELECT DISTINCT s.r, s.pos FROM copies c JOIN sums s ON s.r = c.r AND s.i BETWEEN c.i1 AND c.i2 WHERE c.k > 1
+), counted AS (
+    SELECT p.r, count(g.pos) AS deleted, string_agg(p.line, chr(10) ORDER BY p.pos) FILTER (WHERE g.pos IS NULL) AS rest
+    FROM pieces p LEFT JOIN gone g ON g.r = p.r AND g.pos = p.pos GROUP BY p.r
+), clean AS (
+    SELECT r, deleted, CASE WHEN deleted = 0 OR regexp_matches(rest, '[^\x20\x09-\x0D]') THEN rest ELSE '' END AS rest FROM counted
+)
+SELECT raw.doc_id, CAST(deleted AS INTEGER) AS deleted_lines, CAST(length(coalesce(rest, '')) AS INTEGER) AS left_chars,
+       md5(coalesce(rest, '')) AS left_md5
+FROM raw LEFT JOIN clean USING (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": EXACT_DEDUP_SQL, "op8_chat_format": CHAT_FORMAT_SQL}
+    return {"op4_line_dedup": LINE_DEDUP_SQL, "op6_exact_dedup": EXACT_DEDUP_SQL, "op8_chat_format": CHAT_FORMAT_SQL}
