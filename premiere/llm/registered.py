@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiere.llm import bpe, chat_format, exact_dedup, line_dedup, packing, simhash
+from premiere.llm import bpe, chat_format, exact_dedup, line_dedup, packing, quality_rules, simhash
 from premiere.llm.common import id_remainder, table
 
 
@@ -16,6 +16,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against the base rules and their language's references."""
+    rules = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    distances = {c: F.round(c, 6) for c in ("class_distance", "word_distance")}
+    return rules.withColumns(distances)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded."""
     coded = bpe.encode_texts(table(spark, sf_dir, "documents"), decode=True)
@@ -56,7 +63,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_bpe, op4_line_dedup, op6_exact_dedup, op8_chat_format, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_simhash, op2_quality_rules, op3_bpe, op4_line_dedup, op6_exact_dedup, op8_chat_format, op9_best_fit_packing)}
 
 
 EXACT_DEDUP_SQL = r"""
@@ -123,6 +130,80 @@ SELECT raw.doc_id, CAST(deleted AS INTEGER) AS deleted_lines, CAST(length(coales
 FROM raw LEFT JOIN clean USING (r)
 """
 
+QUALITY_RULES_SQL = r"""
+WITH big AS (
+    SELECT lang FROM documents WHERE lang <> '' GROUP BY lang HAVING count(*) * 1000 >= (SELECT count(*) FROM documents)
+), d AS (
+    SELECT doc_id, coalesce(text, '') AS text, CASE WHEN lang IN (SELECT lang FROM big) THEN lang ELSE '' END AS language
+    FROM documents
+), w AS (
+    SELECT doc_id, language, unnest(x) AS word, unnest(range(len(x))) AS i
+    FROM (SELECT doc_id, language, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS x FROM d)
+), grams AS (
+    SELECT doc_id, i, string_agg(word, ' ') OVER f AS g, count(*) OVER f AS k
+    FROM w WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+), twice AS (
+    SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams WHERE k = 8) WHERE c > 1
+), repeats AS (
+    SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM twice, range(8) t(j) GROUP BY doc_id
+), dup AS (
+    SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d)
+    WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), base AS (
+    SELECT d.doc_id, d.language, length(text) AS n_chars,
+           len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n_words,
+           length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           length(text) - length(regexp_replace(text, '\p{Ll}+', '', 'g')) AS c1,
+           length(text) - length(regexp_replace(text, '\p{Lu}+', '', 'g')) AS c2,
+           length(text) - length(regexp_replace(text, '\p{N}+', '', 'g')) AS c3,
+           length(text) - length(regexp_replace(text, '[.,;:?''"()\-]+', '', 'g')) AS c4
+    FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN repeats USING (doc_id)
+), failed AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base
+), low AS (
+    SELECT doc_id, language, unnest(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+')) AS word FROM d
+), top AS (
+    SELECT language, word FROM (
+        SELECT language, word, row_number() OVER (PARTITION BY language ORDER BY count(*) DESC, word) AS k
+        FROM low GROUP BY language, word HAVING count(*) > 1)
+    WHERE k <= 24
+), hits AS (
+    SELECT doc_id, word, count(*) AS n FROM low JOIN top USING (language, word) GROUP BY doc_id, word
+), word_bins AS (
+    SELECT f.doc_id, f.language, f.base_failed, t.word, coalesce(h.n, 0) AS n
+    FROM failed f JOIN top t USING (language) LEFT JOIN hits h ON h.doc_id = f.doc_id AND h.word = t.word
+    UNION ALL
+    SELECT f.doc_id, f.language, f.base_failed, NULL, f.n_words - coalesce(sum(h.n), 0)
+    FROM failed f LEFT JOIN hits h USING (doc_id) GROUP BY f.doc_id, f.language, f.base_failed, f.n_words
+), class_bins AS (
+    SELECT doc_id, language, base_failed, unnest([0, 1, 2, 3, 4, 5]) AS bin,
+           unnest([c1, c2, c3, c4, n_chars - word_chars, word_chars - c1 - c2 - c3 - c4]) AS n
+    FROM failed
+), bins AS (
+    SELECT doc_id, language, base_failed, 'w' AS kind, coalesce(word, '') AS bin, CAST(n AS DOUBLE) AS n
+    FROM (SELECT doc_id, language, base_failed, word, n FROM word_bins)
+    UNION ALL
+    SELECT doc_id, language, base_failed, 'c', CAST(bin AS VARCHAR), CAST(n AS DOUBLE) FROM class_bins
+), refs AS (
+    SELECT language, kind, bin, sum(n) / nullif(sum(sum(n)) OVER (PARTITION BY language, kind), 0) AS q
+    FROM bins WHERE NOT base_failed GROUP BY language, kind, bin
+), own AS (
+    SELECT *, coalesce(n / nullif(sum(n) OVER (PARTITION BY doc_id, kind), 0), 0) AS p FROM bins
+), far AS (
+    SELECT doc_id, kind, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+           + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS j
+    FROM own JOIN refs USING (language, kind, bin) GROUP BY doc_id, kind
+)
+SELECT f.doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, n_dup_lines,
+       n_repeat_words, base_failed,
+       NOT (base_failed OR (n_chars >= 200 AND coalesce(c.j, 0) > 0.25) OR (n_words >= 60 AND coalesce(x.j, 0) > 0.4)) AS kept,
+       round(c.j, 6) AS class_distance, round(x.j, 6) AS word_distance
+FROM failed f LEFT JOIN far c ON c.doc_id = f.doc_id AND c.kind = 'c' LEFT JOIN far x ON x.doc_id = f.doc_id AND x.kind = 'w'
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": LINE_DEDUP_SQL, "op6_exact_dedup": EXACT_DEDUP_SQL, "op8_chat_format": CHAT_FORMAT_SQL}
+    return {"op2_quality_rules": QUALITY_RULES_SQL, "op4_line_dedup": LINE_DEDUP_SQL, "op6_exact_dedup": EXACT_DEDUP_SQL, "op8_chat_format": CHAT_FORMAT_SQL}
