@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiere.llm import bpe, chat_format, exact_dedup, line_dedup, packing, quality_rules, simhash
+from premiere.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, packing, quality_model, quality_rules, simhash
 from premiere.llm.common import id_remainder, table
 
 
@@ -49,6 +49,20 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of the rows whose remainder is not 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = id_remainder(F.col("doc_id"), 3)
+    model = quality_model.fit_on(quality_model.training_rows(docs, table(spark, sf_dir, "labels"), rest != 1))
+    score = F.col("quality_score")
+    return quality_model.scored(docs, model).select(
+        "doc_id",
+        F.coalesce(rest == 1, F.lit(True)).alias("held_out"),
+        score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, whose texts are control strings."""
     rows = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
@@ -62,8 +76,32 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by what the rows whose remainder is not 0 teach."""
+    docs = table(spark, sf_dir, "documents")
+    rest = id_remainder(F.col("doc_id"), 5)
+    learned = language_id.learn(docs, rest != 0)
+    return language_id.identified(docs.select("doc_id", "text"), learned).select(
+        "doc_id",
+        F.coalesce(rest == 0, F.lit(True)).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_quality_rules, op3_bpe, op4_line_dedup, op6_exact_dedup, op8_chat_format, op9_best_fit_packing)}
+    registered = (
+        op1_simhash,
+        op2_quality_rules,
+        op3_bpe,
+        op4_line_dedup,
+        op6_exact_dedup,
+        op7_quality_model,
+        op8_chat_format,
+        op9_best_fit_packing,
+        op10_language_id,
+    )
+    return {f.__name__: f for f in registered}
 
 
 EXACT_DEDUP_SQL = r"""
