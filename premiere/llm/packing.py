@@ -23,6 +23,7 @@ from premiere.session import materialise
 
 CAPACITY = 2048
 BUCKET_ROWS = 20_000
+LEAST_BUCKETS = 256
 BROADCAST_STEPS = 100_000  # about 4 MB
 
 
@@ -83,7 +84,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 
 def numbered(pieces: DataFrame, rows: int) -> DataFrame:
     """Pieces with their number within their length, from 0; no task sorts more than a bucket."""
-    buckets = max(1, rows // BUCKET_ROWS)
+    buckets = max(LEAST_BUCKETS, rows // BUCKET_ROWS)
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
     counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
