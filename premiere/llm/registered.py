@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiere.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, packing, quality_model, quality_rules, simhash
+from premiere.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, packing, ppm, quality_model, quality_rules, simhash
 from premiere.llm.common import id_remainder, table
 
 
@@ -40,6 +40,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "deleted_lines", F.length("text").alias("left_chars"), F.md5(F.col("text").cast("binary")).alias("left_md5"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by what the rows whose remainder is not 0 teach."""
+    return ppm.score_texts(table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 10) != 0)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; the half with an even remainder of its id is the history."""
     old = id_remainder(F.col("doc_id"), 2) == 0
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_quality_rules,
         op3_bpe,
         op4_line_dedup,
+        op5_ppm,
         op6_exact_dedup,
         op7_quality_model,
         op8_chat_format,
