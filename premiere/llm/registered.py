@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from premiere.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, packing, ppm, quality_model, quality_rules, simhash
 from premiere.llm.common import id_remainder, table
 
@@ -107,7 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_best_fit_packing,
         op10_language_id,
     )
-    return {f.__name__: f for f in registered}
+    return {f.__name__: f for f in registered} | {"pipeline": corpus_pipeline.run}
 
 
 EXACT_DEDUP_SQL = r"""
