@@ -159,8 +159,10 @@ def _pair_tree(g: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[float, np.n
 def fit(x: np.ndarray, y: np.ndarray) -> Additive:
     """Boost the tables of single features, then those of the pairs that gain most."""
     share = float(y.mean()) if len(y) else 0.5
+    if not len(y):
+        return Additive(0.0)
     if not 0 < share < 1:
-        return Additive(30.0 if share == 1 else -30.0 if len(y) else 0.0)
+        return Additive(30.0 if share == 1 else -30.0)
     columns = range(x.shape[1])
     model = Additive(float(np.log(share / (1 - share))))
     model.edges = [_edges(x[:, j], BINS) for j in columns]
