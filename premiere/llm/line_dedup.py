@@ -136,7 +136,8 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     numbered = materialise(docs.withColumn(_ROW, F.monotonically_increasing_id()), "documents")
     gone = materialise(later_copies(numbered.select("doc_id", _ROW, "text"), min_words), "later-copies")
-    joined = numbered.join(gone.withColumnRenamed("row", _ROW), _ROW, "left")
+    # The same plan at every size: texts are dealt once and meet the few positions in a hash table, unsorted.
+    joined = numbered.join(gone.withColumnRenamed("row", _ROW).hint("shuffle_hash"), _ROW, "left")
     split = F.split("text", "\n", -1)
     borders = F.sort_array(F.concat(F.array(F.lit(-1)), F.col("positions"), F.array(F.size(split))))
 
