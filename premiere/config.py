@@ -45,7 +45,7 @@ PRODUCT_COLUMNS = ("product_id", "product_name", "launch_date", "launch_price")
 class DemandConfig:
     """Feature parameters, then the sizing knobs of the distributed operators."""
 
-    source_mode: str = "sales_order"  # sales_order | sales | union
+    source_mode: str = "sales_order"  # or "sales", or "union" of the two
     top_k: int = 5
     analog_temperature: float = 10.0
     lookback_days: int = 365
@@ -53,9 +53,6 @@ class DemandConfig:
     # Only use analogs whose three launch months ended before the query's launch.
     require_matured: bool = False
 
-    # percentile_approx is exact for groups well below this many lines and its sketch
-    # never outgrows it.
-    median_accuracy: int = 1_000_000
     similarity_digits: int = 9
     # A block is searched by one task; larger blocks move less, smaller ones prune better.
     block_rows: int = 32768

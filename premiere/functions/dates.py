@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
+# 0001-01-01 00:00:00 and 9999-12-31 23:59:59 in epoch seconds.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def order_time(c: Column) -> Column:
-    """Epoch seconds (as number or text) or timestamp text; anything else is NULL."""
-    return F.coalesce(
-        F.timestamp_seconds(c.try_cast("bigint")), F.try_to_timestamp(c.cast("string"))
-    )
+    """Epoch seconds (as number or text) or timestamp text; anything else is NULL.
+
+    Numbers outside the years 1 to 9999, such as epochs in microseconds, are NULL too.
+    """
+    seconds = c.try_cast("bigint")
+    in_range = F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
+    text = F.when(seconds.isNull(), c.cast("string"))
+    return F.coalesce(F.timestamp_seconds(in_range), F.try_to_timestamp(text))
 
 
 def launch_month(order_date: Column, launch_date: Column) -> Column:

@@ -45,7 +45,7 @@ def merchant_code(merchant: Column) -> Column:
 
 
 def is_night(hour: Column) -> Column:
-    return F.coalesce((~hour.between(6, 21)).cast("int"), F.lit(0))
+    return F.coalesce(((hour >= 22) | (hour <= 5)).cast("int"), F.lit(0))
 
 
 def is_weekend(day: Column) -> Column:

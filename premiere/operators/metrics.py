@@ -129,9 +129,9 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     )
     inside = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = placed.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-    won = F.col("pos") * (F.col("lower") + F.col("below") + F.col("neg") / 2)
+    won = F.col("pos").cast("double") * (F.col("lower") + F.col("below") + F.col("neg") / 2)
     return (
-        ranked.join(F.broadcast(buckets), "bucket")
+        ranked.join(buckets, "bucket")
         .agg(F.sum(won).alias("w"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-        .select(F.try_divide(F.col("w"), F.col("p") * F.col("n")).alias("roc_auc"))
+        .select(F.try_divide(F.col("w"), F.col("p").cast("double") * F.col("n")).alias("roc_auc"))
     )

@@ -36,7 +36,7 @@ def _available_day(cfg: DemandConfig) -> Column:
 
 
 def _vector_key(v: str) -> Column:
-    return F.sha2(F.concat_ws(",", F.col(v).cast("array<string>")), 256)
+    return F.sha2(F.to_json(v), 256)
 
 
 def query_points(queries: DataFrame) -> DataFrame:

@@ -439,18 +439,31 @@ def _report() -> str:
 _TEST_ROW = "row_number() OVER (PARTITION BY is_fraud ORDER BY md5(concat('42|', transaction_id)))"
 _CLASS_SIZE = "count(*) OVER (PARTITION BY is_fraud)"
 
-_CHAMPIONS = f"""
+def _champions(lower: bool) -> str:
+    better, best, gain = ("<", "min", "old - value") if lower else (">", "max", "value - old")
+    return f"""
     SELECT run_id, evaluated_at, selection_metric, {_r("value", "selection_metric_value")},
-      {_r("old", "champion_metric")}, coalesce(value < old, old IS NULL) AS promoted, {_r("gain", "improvement_pct")},
+      {_r("old", "champion_metric")}, coalesce(value {better} old, old IS NULL) AS promoted, {_r("gain", "improvement_pct")},
       CASE WHEN met = 0 THEN '{champion.FIRST_REASON}' WHEN old IS NULL THEN '{champion.UNMEASURED_REASON}'
         WHEN abs(gain) < {champion.EQUAL_BAND_PCT}
           THEN printf('{champion.EQUAL_REASON.replace("%s", "%+.2f")}', gain)
-        WHEN value < old THEN printf('{champion.BETTER_REASON.replace("%s", "%.2f")}', abs(gain))
-        ELSE printf('{champion.WORSE_REASON.replace("%s", "%.2f")}', abs(gain)) END AS reason
-    FROM (SELECT *, (old - value) / nullif(old, 0) * 100 AS gain FROM (
-      SELECT *, selection_metric_value AS value, min(selection_metric_value) OVER earlier AS old,
+        WHEN value {better} old THEN printf('{champion.BETTER_REASON.replace("%s", "%.2f")}', abs(gain))
+        ELSE printf('{champion.WORSE_REASON.replace("%s", "%.2f")}', abs(gain)) END AS reason, {lower} AS lower_is_better
+    FROM (SELECT *, ({gain}) / nullif(old, 0) * 100 AS gain FROM (
+      SELECT *, selection_metric_value AS value, {best}(selection_metric_value) OVER earlier AS old,
         count(*) OVER earlier AS met
-      FROM runs WINDOW earlier AS (ORDER BY evaluated_at, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))"""
+      FROM (SELECT * FROM runs
+        UNION ALL SELECT * REPLACE ('negated' AS selection_metric, -selection_metric_value AS selection_metric_value) FROM runs)
+      WINDOW earlier AS (PARTITION BY selection_metric ORDER BY evaluated_at, run_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))"""
+
+
+_VOCABULARIES = " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS id
+    FROM (SELECT DISTINCT {c} AS value FROM history JOIN day_split USING (launch_date)
+      WHERE dataset_split = 'train' AND {c} IS NOT NULL)"""
+    for c in ("brand", "functional_category")
+)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -463,11 +476,7 @@ def oracle_sql() -> dict[str, str]:
         "order_lines_from_orders": _with(_lines("fact", "promotion_flag", "sales_order"), "fact"),
         "order_lines_from_sales": _with(_lines("sales_fact", "0", "sales"), "sales_fact"),
         "order_lines_union": _with(
-            """SELECT source, functional_category, count(*) AS order_lines, count(DISTINCT order_id) AS order_ids,
-              sum(quantity) AS quantity, CAST(sum(promotion_flag) AS BIGINT) AS promotions
-            FROM (SELECT 'sales_order' AS source, functional_category, order_id, quantity, promotion_flag FROM fact
-              UNION ALL SELECT 'sales', functional_category, order_id, quantity, 0 FROM sales_fact)
-            GROUP BY source, functional_category""",
+            _lines("fact", "promotion_flag", "sales_order") + " UNION ALL " + _lines("sales_fact", "0", "sales"),
             "fact",
             "sales_fact",
         ),
@@ -475,7 +484,7 @@ def oracle_sql() -> dict[str, str]:
         "split_tables": _with(
             """SELECT dataset_split, count(*) AS products, min(launch_date) AS first_launch,
               max(launch_date) AS last_launch, sum(qty_90d) AS units
-            FROM history JOIN day_split USING (launch_date) WHERE dataset_split <> 'train' GROUP BY dataset_split""",
+            FROM history JOIN day_split USING (launch_date) GROUP BY dataset_split""",
             "history",
             "day_split",
         ),
@@ -532,20 +541,15 @@ def oracle_sql() -> dict[str, str]:
         "standardised_features": _with(
             f"SELECT f.product_id, {_SCALED}, {_LOGGED} FROM split_features f", "split_features", "stats"
         ),
-        "category_vocabulary": _with(
-            " UNION ALL ".join(
-                f"""SELECT '{c}' AS feature, value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS id
-                FROM (SELECT DISTINCT {c} AS value FROM history JOIN day_split USING (launch_date)
-                  WHERE dataset_split = 'train' AND {c} IS NOT NULL)"""
-                for c in ("brand", "functional_category")
-            ),
-            "history",
-            "day_split",
-        ),
+        "category_vocabulary": _with(_VOCABULARIES, "history", "day_split"),
         "encoded_categories": _with(
-            """SELECT product_id, functional_category, CASE functional_category WHEN 'camera' THEN 1
-              WHEN 'speaker' THEN 2 ELSE 0 END AS category_id FROM history WHERE m3_qty IS NOT NULL""",
+            f"""SELECT product_id, brand, functional_category, coalesce(b.id, 0) AS brand_id,
+              coalesce(c.id, 0) AS functional_category_id
+            FROM history h LEFT JOIN ({_VOCABULARIES}) b ON b.feature = 'brand' AND b.value = brand
+              LEFT JOIN ({_VOCABULARIES}) c ON c.feature = 'functional_category' AND c.value = functional_category
+            WHERE m3_qty IS NOT NULL""",
             "history",
+            "day_split",
         ),
         "transaction_features": _with(
             f"""SELECT transaction_id, {", ".join(f"{c} + 0.0::DOUBLE AS {c}" if c in
@@ -605,7 +609,7 @@ def oracle_sql() -> dict[str, str]:
             ),
             "forecast",
         ),
-        "champion_history": _with(_CHAMPIONS, "runs"),
+        "champion_history": _with(_champions(True) + " UNION ALL " + _champions(False), "runs"),
         "latest_evaluation": _with(
             f"""SELECT run_id, evaluated_at, selection_metric, {_r("selection_metric_value", "selection_metric_value")}
             FROM runs ORDER BY evaluated_at DESC, run_id DESC LIMIT 1""",

@@ -27,7 +27,7 @@ from premiere.sources import adapters, orders, tables
 from premiere.streaming import scoring
 
 DEMAND = DemandConfig()
-TRAINING = TrainingConfig(max_iter=30)
+TRAINING = TrainingConfig()
 FOREST = TrainingConfig()
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,14 +108,7 @@ def order_lines_from_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_lines_union(spark: SparkSession, folder: str) -> DataFrame:
     both = orders.order_lines("union", adapters.raw_orders(spark, folder), adapters.raw_sales(spark, folder))
-    return rounded(
-        both.groupBy("source", "functional_category").agg(
-            F.count(F.lit(1)).alias("order_lines"),
-            F.count_distinct("order_id").alias("order_ids"),
-            F.sum("quantity").alias("quantity"),
-            F.sum("promotion_flag").alias("promotions"),
-        )
-    )
+    return rounded(both)
 
 
 def transactions_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,9 +124,7 @@ def split_tables(spark: SparkSession, folder: str) -> DataFrame:
     tables.overwrite_table(split.drop("product_embedding"), path, partition_by=("dataset_split",))
     written = tables.read_table(spark, path)
     return rounded(
-        written.filter(F.col("dataset_split") != "train")
-        .groupBy("dataset_split")
-        .agg(
+        written.groupBy("dataset_split").agg(
             F.count(F.lit(1)).alias("products"),
             F.min("launch_date").alias("first_launch"),
             F.max("launch_date").alias("last_launch"),
@@ -230,7 +221,7 @@ def target_transform(spark: SparkSession, folder: str) -> DataFrame:
 
 def launch_month_demand(spark: SparkSession, folder: str) -> DataFrame:
     lines = fact(spark, folder)
-    return rounded(history.launch_outcomes(lines, history.launch_dates(lines)))
+    return rounded(history.launch_outcomes(lines, history.launch_profile(lines, DEMAND)))
 
 
 def product_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -333,11 +324,10 @@ def category_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encoded_categories(spark: SparkSession, folder: str) -> DataFrame:
-    """Ids of all products by a vocabulary that knows the train split's cameras and speakers only."""
-    train = _train(spark, folder).filter(F.col("functional_category").isin("camera", "speaker"))
-    words = preprocess.vocabulary(train, "functional_category")
-    coded = preprocess.encode_category(_split(spark, folder), words, "functional_category", "category_id")
-    return coded.select("product_id", "functional_category", "category_id")
+    """Brand and category ids of all products by the train split's vocabularies."""
+    fitted = preprocess.Preprocessor.fit(_train(spark, folder))
+    names = ("brand", "functional_category")
+    return fitted.encoded(_split(spark, folder)).select("product_id", *names, *[f"{c}_id" for c in names])
 
 
 # Transactions -------------------------------------------------------------------------
@@ -440,7 +430,12 @@ def _evaluations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def champion_history(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(champion.champion_history(_evaluations(spark, folder), TRAINING.lower_metric_is_better))
+    """Decisions over one log with two metrics, read in both directions."""
+    wape = _evaluations(spark, folder)
+    negated = -F.col("selection_metric_value")
+    log = wape.unionByName(wape.withColumns({"selection_metric": F.lit("negated"), "selection_metric_value": negated}))
+    both = [champion.champion_history(log, d).withColumn("lower_is_better", F.lit(d)) for d in (True, False)]
+    return rounded(both[0].unionByName(both[1]))
 
 
 def latest_evaluation(spark: SparkSession, folder: str) -> DataFrame:
@@ -489,7 +484,8 @@ def stream_transaction_scores(spark: SparkSession, folder: str) -> DataFrame:
     rows = _transactions(spark, folder)
     feed = scratch_path(spark, "transaction-feed")
     tables.overwrite_table(rows, feed)
-    model = training.fit_risk_model(transactions.encode(rows), TrainingConfig(num_trees=20))
+    split = ranks.stratified_split(rows, "is_fraud", "transaction_id", FOREST.test_fraction, FOREST.seed)
+    model = training.fit_risk_model(transactions.encode(split.filter(F.col("dataset_split") == "train")), FOREST)
     out = scratch_path(spark, "transaction-scores")
     stream = scoring.parquet_stream(spark, feed, rows.schema)
     scoring.score_transaction_stream(
@@ -503,9 +499,7 @@ def stream_product_scores(spark: SparkSession, folder: str) -> DataFrame:
     announced = adapters.new_products(spark, folder)
     feed = scratch_path(spark, "product-feed")
     tables.overwrite_table(announced, feed)
-    model = training.fit_demand_model(
-        materialise(_split(spark, folder), "split-features"), TrainingConfig(loss="mse", max_iter=10)
-    )
+    model = training.fit_demand_model(materialise(_split(spark, folder), "split-features"), TRAINING)
     known = adapters.product_vectors(spark, folder)
     lines, launches = fact(spark, folder), launched(spark, folder)
 

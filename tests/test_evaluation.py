@@ -135,9 +135,24 @@ def test_zero_champion_metric(spark):
     assert out[1].promoted is False and out[1].improvement_pct is None
 
 
+def test_metrics_of_one_log_do_not_compete(spark):
+    rows = [("a", 1, "wape", 0.5), ("b", 2, "mae", 100.0), ("c", 3, "wape", 0.45), ("d", 4, "mae", 90.0)]
+    schema = "run_id string, evaluated_at int, selection_metric string, selection_metric_value double"
+    log = spark.createDataFrame(rows, schema)
+    out = {r.run_id: (r.promoted, r.reason) for r in champion.champion_history(log).collect()}
+    assert out["b"] == (True, champion.FIRST_REASON)
+    assert out["c"] == (True, "Candidate improved by 10.00%") and out["d"] == (True, "Candidate improved by 10.00%")
+
+
+def test_auc_of_large_counts_does_not_overflow(spark):
+    expression = F.lit(5_000_000_000).cast("double") * F.lit(5_000_000_000)
+    assert spark.range(1).select(expression).first()[0] == 25e18
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (0, 0.9), (1, 0.5)], "y int, s double")
+    assert metrics.roc_auc(df, "y", "s").first()[0] == 0.625
+
+
 def test_latest_rows(spark):
-    df = spark.createDataFrame(
-        [("a", dt.datetime(2024, 1, 1)), ("b", dt.datetime(2024, 1, 2))], "run_id string, evaluated_at timestamp"
-    )
-    assert champion.latest_evaluation(df).first().run_id == "b"
-    assert champion.latest_run(df.filter("run_id = 'a'")).first().run_id == "a"
+    days = [("b", dt.datetime(2024, 1, 2)), ("a", dt.datetime(2024, 1, 3)), ("c", dt.datetime(2024, 1, 1))]
+    df = spark.createDataFrame(days, "run_id string, evaluated_at timestamp")
+    assert champion.latest_evaluation(df).first().run_id == "a"
+    assert champion.latest_run(df.withColumnRenamed("evaluated_at", "started_at")).first().run_id == "a"

@@ -195,3 +195,32 @@ def test_csv_with_and_without_schema(spark, tmp_path):
     assert tables.read_csv(spark, path).dtypes == df.dtypes
     declared = T.StructType.fromDDL("id string, amount double, hour double")
     assert tables.read_csv(spark, path, declared).first().hour == 3.0
+
+
+def test_broken_numbers_and_epochs_become_null(spark):
+    numbers = (("NaN", "1"), ("Infinity", "1"), ("2", "NaN"), ("3", "4"))
+    items = json.dumps([item(qty=q, price=p) for q, p in numbers])
+    rows = orders.lines_from_orders(raw(spark, [("1", "c", "99999999999999", 4, items)])).collect()
+    assert sorted((r.quantity, r.unit_price) for r in rows if r.unit_price) == [(3.0, 4.0)]
+    assert {r.quantity for r in rows} == {2.0, 3.0} and {r.order_ts for r in rows} == {None}
+
+
+def test_copies_inside_an_order_and_after_the_union(spark):
+    one = item(price="2")
+    items = json.dumps([one | {"unit": "z"}, one, item(price="3"), item(price=None), item(price=None)])
+    lines = orders.lines_from_orders(raw(spark, [("1", "c", "2024-01-01", 5, items)]))
+    assert sorted(((r.unit_price or 0), r.unit) for r in lines.collect()) == [(0, "ea"), (2.0, "ea"), (3.0, "ea")]
+    plan = lines._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert orders.keep_one(lines.unionByName(lines), orders.ORDER_LINE_KEY).count() == 3
+
+
+def test_catalog_append_gains_a_column(spark):
+    name = "appended_log"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = spark.createDataFrame([(1, "a")], "x int, y string")
+    tables.append_table(df.drop("y"), name)
+    tables.append_table(df, name)
+    tables.append_table(df.select("y"), name)
+    assert sorted(map(tuple, spark.table(name).collect()), key=str) == sorted([(1, None), (1, "a"), (None, "a")], key=str)
+    spark.sql(f"DROP TABLE {name}")
