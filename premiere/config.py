@@ -54,11 +54,9 @@ class DemandConfig:
     require_matured: bool = False
 
     similarity_digits: int = 9
-    # A block is searched by one task; larger blocks move less, smaller ones prune better.
-    block_rows: int = 32768
-    chunk_rows: int = 2048
-    max_pivots: int = 512
-    max_blocks: int = 8192
+    # Launches of a block and queries of a tile; a task holds one of each.
+    block_rows: int = 4096
+    tile_rows: int = 2048
     bucket_rows: int = 2000
     max_price_buckets: int = 512
 

@@ -1,4 +1,4 @@
-"""What runs inside Python tasks: numpy and pandas only, so workers import nothing else."""
+"""What runs inside Python tasks: numpy, pandas and Arrow only, so workers import nothing else."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-
-Batches = Iterator[pd.DataFrame]
+import pyarrow as pa
 
 # Order statistics ---------------------------------------------------------------------
 
@@ -88,147 +87,50 @@ def second_level(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
 
 # Sort positions below every real similarity: no vector on one side, and no result yet.
 UNKNOWN, NOTHING = -2.0, -3.0
-# Angles lose about half the digits near 0; bounds are widened by this before pruning.
-SLACK = 1e-6
 SUB_ROWS = 128
-# Planned (query, block) rows are handed on in batches of this size.
-PLAN_ROWS = 8192
-
-
-def unit_rows(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Unit rows in double precision, with masks of the zero and of the missing vectors."""
-    missing = vectors.isna().to_numpy()
-    if missing.all():
-        return np.zeros((len(vectors), 0)), np.zeros(len(vectors), bool), missing
-    size = len(vectors[~missing].iloc[0])
-    rows = np.zeros((len(vectors), size))
-    rows[~missing] = np.stack(vectors[~missing].to_numpy())
-    length = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-    zero = (length == 0) & ~missing
-    return rows / np.where(length == 0, 1.0, length)[:, None], zero, missing
 
 
-class Pivots:
-    """Pivot vectors; two extra cells hold the zero and the missing vectors.
+def unit_rows(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows in double precision (zero vectors stay zero), and a mask of the missing vectors.
 
-    Without pivots all real vectors share cell 0, of which nothing is known.
+    A vector with a missing element counts as missing.
     """
-
-    def __init__(self, rows: np.ndarray):
-        self.rows = rows
-        self.zero_cell = max(1, len(rows))
-        self.missing_cell = self.zero_cell + 1
-
-    def angles(self, unit: np.ndarray) -> np.ndarray:
-        if not len(self.rows) or unit.shape[1] != self.rows.shape[1]:
-            return np.zeros((len(unit), self.zero_cell))
-        return np.arccos(np.clip(unit @ self.rows.T, -1.0, 1.0))
-
-    def cells(self, vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-        unit, zero, missing = unit_rows(vectors)
-        angle = self.angles(unit)
-        cell = angle.argmin(axis=1)
-        near = angle[np.arange(len(unit)), cell]
-        cell = np.where(zero, self.zero_cell, np.where(missing, self.missing_cell, cell))
-        return cell.astype(np.int32), near
-
-
-class Blocks:
-    """What is known of each block; at most max_pivots + 2 + max_blocks entries."""
-
-    def __init__(self, pivots: Pivots, stats: pd.DataFrame):
-        self.pivots = pivots
-        self.ids = stats["block"].to_numpy()
-        self.cell = stats["cell"].to_numpy()
-        self.low, self.high = stats["low"].to_numpy(), stats["high"].to_numpy()
-        self.opens = stats["opens"].to_numpy()
-
-    def ceilings(self, vectors: pd.Series) -> np.ndarray:
-        """Best similarity each block could offer each query."""
-        unit, zero, missing = unit_rows(vectors)
-        real = self.cell < self.pivots.zero_cell
-        out = np.empty((len(vectors), len(self.ids)))
-        angle = self.pivots.angles(unit)[:, self.cell[real]]
-        nearest = np.maximum(0.0, np.maximum(angle - self.high[real], self.low[real] - angle))
-        out[:, real] = np.cos(nearest)
-        out[zero] = 0.0
-        out[:, self.cell == self.pivots.zero_cell] = 0.0
-        out[missing] = UNKNOWN
-        out[:, self.cell == self.pivots.missing_cell] = UNKNOWN
-        return out
-
-
-def assign_cells(pivots: Pivots) -> Callable[[Batches], Batches]:
-    """Candidates with their nearest pivot and the angle to it."""
-
-    def run(batches: Batches) -> Batches:
-        for pdf in batches:
-            cell, angle = pivots.cells(pdf["vector"])
-            yield pdf[["product_id", "day", "vector"]].assign(cell=cell, angle=angle)
-
-    return run
-
-
-def first_block(blocks: Blocks) -> Callable[[Batches], Batches]:
-    """The most promising block that is open on the query's day; none means no analogs."""
-
-    def run(batches: Batches) -> Batches:
-        for pdf in batches:
-            for start in range(0, len(pdf), 4 * SUB_ROWS):
-                part = pdf.iloc[start : start + 4 * SUB_ROWS]
-                best = blocks.ceilings(part["vector"])
-                # Of equally promising blocks, the one that opened first has most to offer.
-                best = best - 1e-9 * np.argsort(np.argsort(blocks.opens, kind="stable"), kind="stable")[None, :]
-                best[blocks.opens[None, :] > part["day"].to_numpy()[:, None]] = -np.inf
-                at = best.argmax(axis=1)
-                open_ = np.isfinite(best[np.arange(len(part)), at])
-                yield part.assign(block=blocks.ids[at], floor=NOTHING)[open_]
-
-    return run
-
-
-def further_blocks(blocks: Blocks) -> Callable[[Batches], Batches]:
-    """All blocks but the first that could still beat or tie the k-th best similarity."""
-
-    def run(batches: Batches) -> Batches:
-        for pdf in batches:
-            for start in range(0, len(pdf), 4 * SUB_ROWS):
-                part = pdf.iloc[start : start + 4 * SUB_ROWS]
-                floor = part["floor"].to_numpy()
-                useful = blocks.ceilings(part["vector"]) >= floor[:, None] - SLACK
-                useful &= blocks.opens[None, :] <= part["day"].to_numpy()[:, None]
-                useful &= blocks.ids[None, :] != part["block"].to_numpy()[:, None]
-                rows, at = np.nonzero(useful)
-                for i in range(0, len(rows), PLAN_ROWS):
-                    batch = slice(i, i + PLAN_ROWS)
-                    yield part.iloc[rows[batch]].assign(block=blocks.ids[at[batch]])
-
-    return run
+    missing = vectors.is_null().to_numpy(zero_copy_only=False).copy()
+    sizes = vectors.value_lengths().fill_null(0).to_numpy()
+    if missing.all():
+        return np.zeros((len(vectors), 0)), missing
+    width = int(sizes.max())
+    flat = vectors.flatten()
+    if (sizes[~missing] != width).any():
+        raise ValueError("vectors must have one length")
+    rows = np.zeros((len(vectors), width))
+    values = flat.cast(pa.float64()).fill_null(np.nan).to_numpy().reshape(-1, width)
+    broken = np.isnan(values).any(axis=1)
+    rows[~missing] = np.where(broken[:, None], 0.0, values)
+    missing[np.flatnonzero(~missing)[broken]] = True
+    length = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+    return rows / np.where(length == 0, 1.0, length)[:, None], missing
 
 
 FOUND_ROW = "vector_key string, day int, analog_id string, similarity double"
 
 
-def search(k: int, digits: int):
-    """Kernel: the k best candidates of one block for one chunk of queries."""
+def search(k: int, digits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Kernel: the k best candidates of a block for every query of a tile, one row per pair."""
     tie = 2 * 10.0**-digits
 
-    nothing = pd.DataFrame(columns=["vector_key", "day", "analog_id", "similarity"])
-
-    def run(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(block):
-            return nothing
-        queries = queries.sort_values("day", kind="stable")
-        block = block.sort_values("day", kind="stable")
-        ids, days = block["product_id"].to_numpy(), block["day"].to_numpy()
+    def pair(row: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+        asked, days = row["asked"].to_numpy(), row["days"].to_numpy()
+        by_ask, by_day = np.argsort(asked, kind="stable"), np.argsort(days, kind="stable")
+        asked, days = asked[by_ask], days[by_day]
+        ids = np.array(row["ids"].to_pylist(), dtype=object)[by_day]
         id_rank = np.empty(len(ids), dtype=np.int64)
         id_rank[np.argsort(ids)] = np.arange(len(ids))
-        theirs, _, their_missing = unit_rows(block["vector"])
-        ours, _, our_missing = unit_rows(queries["vector"])
+        ours, our_missing = unit_rows(row["theirs"].take(pa.array(by_ask)))
+        theirs, their_missing = unit_rows(row["vectors"].take(pa.array(by_day)))
         comparable = ours.shape[1] == theirs.shape[1]
-        asked, floor = queries["day"].to_numpy(), queries["floor"].to_numpy()
-        picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for start in range(0, len(queries), SUB_ROWS):
+        keys = row["keys"].take(pa.array(by_ask))
+        for start in range(0, len(asked), SUB_ROWS):
             part = slice(start, start + SUB_ROWS)
             # Both sides are in day order: what opens after the last asked day is cut off.
             width = int(np.searchsorted(days, asked[part][-1], side="right"))
@@ -238,7 +140,7 @@ def search(k: int, digits: int):
             s[our_missing[part]] = UNKNOWN
             s[:, their_missing[:width]] = UNKNOWN
             s[days[None, :width] > asked[part][:, None]] = NOTHING
-            bar = np.maximum(floor[part], UNKNOWN)
+            bar = np.full(len(s), UNKNOWN)
             if width > k:
                 bar = np.maximum(bar, np.partition(s, width - k, axis=1)[:, width - k])
             # Whatever may tie after rounding stays in, then rounding and ids decide.
@@ -246,12 +148,14 @@ def search(k: int, digits: int):
             values = np.round(s[rows, columns], digits) + 0.0
             order = np.lexsort((id_rank[columns], -values, rows))
             rows, columns, values = rows[order], columns[order], values[order]
-            place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-            picked.append((rows[place < k] + start, columns[place < k], values[place < k]))
-        if not picked:
-            return nothing
-        rows, columns, values = (np.concatenate(x) for x in zip(*picked))
-        found = queries[["vector_key", "day"]].iloc[rows]
-        return found.assign(analog_id=ids[columns], similarity=values)
+            kept = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+            rows, columns, values = rows[kept] + start, columns[kept], values[kept]
+            found = [keys.take(pa.array(rows)), pa.array(asked[rows], pa.int32()), pa.array(ids[columns], pa.string()), pa.array(values)]
+            yield pa.RecordBatch.from_arrays(found, ["vector_key", "day", "analog_id", "similarity"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from pair({n: batch.column(n)[i].values for n in batch.schema.names})
 
     return run

@@ -1,15 +1,17 @@
-"""The k most similar earlier products, exactly, without comparing everything with everything.
+"""The k most similar earlier products, exactly, as blocked matrix products in launch order.
 
 1. Copies collapse. Equal vectors have equal similarities, so queries are reduced to distinct
    (vector, launch day), and of candidates with one vector and one day only the k smallest
    ids can ever be among the k best.
-2. Candidates are grouped around pivot vectors into blocks of bounded size; a crowded pivot
-   is split into several blocks. A block knows the range of angles to its pivot and its first
-   launch, and the triangle inequality for angles gives the best similarity it could offer.
-3. Every query searches its most promising block first. Its k-th best similarity so far rules
-   out all blocks that cannot beat or tie it; only the remaining ones are searched.
-4. The partial lists are merged by a top-k window, which Spark cuts to k rows per query
-   before its shuffle.
+2. Candidates are cut into blocks and queries into tiles, both by ranges of launch days; a day with more
+   rows than a block is split by hash. Their sizes do not grow with the table, only their number.
+3. A tile meets the blocks that open no later than its last day, by number: the plan holds ids only.
+   When launches query their own history, about half of all pairs are left.
+4. A pair is one row with a tile and a block, searched as a matrix product. Its k best per query are
+   merged by a top-k window, which Spark cuts to k rows per query before its shuffle.
+
+Exact search of vectors without structure has to compare every query with all earlier launches; what
+can be bounded, and is, is what a task holds and what is handed on.
 
 Ranking is by similarity rounded to `similarity_digits`, then by product id, so that the
 last bits of a matrix product cannot reorder equal vectors.
@@ -17,15 +19,12 @@ last bits of a matrix product cannot reorder equal vectors.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from premiere.config import DemandConfig
 from premiere.functions import dates
 from premiere.operators import kernels
-from premiere.operators.running import cogroup_on
 from premiere.session import materialise
 
 def _available_day(cfg: DemandConfig) -> Column:
@@ -62,99 +61,63 @@ def _candidates(history: DataFrame, cfg: DemandConfig) -> DataFrame:
     )
 
 
-def _pick_pivots(candidates: DataFrame, count: int) -> kernels.Pivots:
-    """Distinct vectors with the smallest keys; keys are digests, so this is an even sample."""
-    if count <= 1:
-        return kernels.Pivots(np.zeros((0, 0)))
-    sample = (
-        candidates.filter(F.col("vector").isNotNull())
-        .groupBy("vector_key")
-        .agg(F.first("vector").alias("vector"))
-        .orderBy("vector_key")
-        .limit(count)
-        .toPandas()
-    )
-    unit, zero, _ = kernels.unit_rows(sample["vector"]) if len(sample) else (np.zeros((0, 0)), np.zeros(0, bool), None)
-    return kernels.Pivots(unit[~zero])
+def _in_blocks(rows: DataFrame, size: int, spread: list[str]) -> DataFrame:
+    """Rows with the block (range, part) of their day; ranges are numbered by day from 0.
 
+    A range starts a new one every `size` rows; a day with more than `size` rows is dealt to parts by
+    the hash of `spread`. Windows run over days of the calendar only.
+    """
+    per_day = rows.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    by_day = Window.orderBy("day")
+    before = F.coalesce(F.sum("n").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = per_day.withColumn("start", F.floor(before / size)).withColumn("parts", F.ceil(F.col("n") / size).cast("int"))
+    ranges = ranges.withColumn("range", (F.dense_rank().over(Window.orderBy("start")) - 1).cast("int"))
+    part = F.pmod(F.xxhash64(*spread), F.col("parts")).cast("int")
+    return rows.join(ranges.select("day", "range", "parts"), "day").withColumn("part", part).drop("parts")
 
-def _type_of(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
 
+def _packed(blocked: DataFrame, id_column: str, names: tuple[str, str, str]) -> DataFrame:
+    """One row per block with its ids, days and vectors in one order."""
+    rows = F.struct(F.col(id_column).alias("id"), "day", "vector")
+    packed = blocked.groupBy("range", "part").agg(F.collect_list(rows).alias("x"))
+    columns = [F.col(f"x.{c}").alias(n) for c, n in zip(("id", "day", "vector"), names)]
+    return packed.select("range", "part", *columns)
 
-def _blocked(candidates: DataFrame, pivots: kernels.Pivots, rows: int, cfg: DemandConfig) -> DataFrame:
-    """Candidates with their block. A block never outgrows about `size` rows."""
-    vector_type = _type_of(candidates, "vector")
 
-    celled = candidates.mapInPandas(
-        kernels.assign_cells(pivots), f"product_id string, day int, vector {vector_type}, cell int, angle double"
+def search_plan(tiles: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(tile, tile_part, range, part): the pairs to search. A range of blocks opens on its first day."""
+    opens = blocks.groupBy("range").agg(F.min("day").alias("day"))
+    last = tiles.groupBy("range", "part").agg(F.max("day").alias("day"))
+    days = opens.select("day", F.col("range").alias("open")).unionByName(
+        last.select("day").distinct().withColumn("open", F.lit(None).cast("int"))
     )
-    celled = materialise(celled, "similarity-cells")
-    size = max(cfg.block_rows, -(-rows // cfg.max_blocks))
-    # One row per pivot cell: a bounded table.
-    splits = celled.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("int").alias("parts"))
-    first = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("offset", F.coalesce(F.sum("parts").over(first), F.lit(0)).cast("int"))
-    part = F.pmod(F.xxhash64("product_id"), F.col("parts")).cast("int")
-    blocked = celled.join(F.broadcast(splits), "cell").withColumn("block", F.col("offset") + part)
-    return blocked.drop("offset", "parts")
-
-
-def _block_stats(blocked: DataFrame) -> pd.DataFrame:
-    return (
-        blocked.groupBy("block", "cell")
-        .agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.min("day").alias("opens"))
-        .toPandas()
+    # One row per block range or day: the last range open on each day.
+    upto = days.groupBy("day").agg(F.max("open").alias("open"))
+    upto = upto.withColumn("open", F.max("open").over(Window.orderBy("day")))
+    pairs = last.join(upto, "day").filter(F.col("open").isNotNull()).select(
+        F.col("range").alias("tile"), F.col("part").alias("tile_part"), F.explode(F.sequence(F.lit(0), "open")).alias("range")
     )
-
-
-def _chunked(asked: DataFrame, cfg: DemandConfig, total: int) -> tuple[DataFrame, DataFrame]:
-    """Split each block's queries into chunks. Returns the queries and one row per (block, chunk)."""
-    size = max(cfg.chunk_rows, -(-total // cfg.max_blocks))
-    # One row per block: a bounded table.
-    chunks = asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("vector_key", "day"), F.col("chunks")).cast("int")
-    split = asked.join(F.broadcast(chunks), "block").withColumn("chunk", chunk).drop("chunks")
-    return split, chunks
-
-
-def _search_blocks(asked: DataFrame, blocked: DataFrame, cfg: DemandConfig, total: int) -> DataFrame:
-    """Search the asked blocks; a block's rows are repeated once per chunk of its queries."""
-    split, chunks = _chunked(asked, cfg, total)
-    copies = blocked.select("block", "product_id", "day", "vector").join(F.broadcast(chunks), "block")
-    copies = copies.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
-    kernel = kernels.search(cfg.top_k, cfg.similarity_digits)
-    return cogroup_on(split, copies, ["block", "chunk"]).applyInPandas(kernel, kernels.FOUND_ROW)
-
-
-def _plan_rest(begun: DataFrame, blocks: kernels.Blocks, columns: str) -> DataFrame:
-    return begun.mapInPandas(kernels.further_blocks(blocks), columns)
+    return pairs.join(blocks.select("range", "part").distinct(), "range")
 
 
 def similar_launches(queries: DataFrame, history: DataFrame, cfg: DemandConfig) -> DataFrame:
-    """(vector_key, day, rank, analog_id, similarity): the k best earlier launches of each point."""
+    """(vector_key, day, rank, analog_id, similarity): the k best earlier launches of each point.
+
+    Runs jobs when called: tiles, blocks and their plan are written.
+    """
     k = cfg.top_k
     points = query_points(queries).drop("product_id").dropDuplicates(["vector_key", "day"])
-    candidates = _candidates(history, cfg)
-    rows = history.count()
-    pivots = _pick_pivots(candidates, min(cfg.max_pivots, rows // cfg.block_rows))
-    blocked = _blocked(candidates, pivots, rows, cfg)
-    blocks = kernels.Blocks(pivots, _block_stats(blocked))
-
-    columns = f"vector_key string, day int, vector {_type_of(points, 'vector')}, block int, floor double"
-    asked = materialise(points.mapInPandas(kernels.first_block(blocks), columns), "similarity-points")
-    found = materialise(_search_blocks(asked, blocked, cfg, rows), "similarity-first")
-    lists = found
-    if len(blocks.ids) > 1:
-        kth = F.when(F.count(F.lit(1)) >= k, F.min("similarity")).otherwise(F.lit(kernels.NOTHING))
-        floors = found.groupBy("vector_key", "day").agg(kth.alias("kth"))
-        begun = (
-            asked.drop("floor")
-            .join(floors, ["vector_key", "day"], "left")
-            .select("vector_key", "day", "vector", "block", F.coalesce("kth", F.lit(kernels.NOTHING)).alias("floor"))
-        )
-        rest = materialise(_plan_rest(begun, blocks, columns), "similarity-rest")
-        lists = found.unionByName(_search_blocks(rest, blocked, cfg, rows))
+    candidates = _candidates(history, cfg).drop("vector_key")
+    blocked = materialise(_in_blocks(candidates, cfg.block_rows, ["product_id"]), "similarity-blocks")
+    tiled = materialise(_in_blocks(points, cfg.tile_rows, ["vector_key"]), "similarity-tiles")
+    pairs = materialise(search_plan(tiled, blocked), "similarity-plan")
+    tiles = _packed(tiled, "vector_key", ("keys", "asked", "theirs")).withColumnsRenamed({"range": "tile", "part": "tile_part"})
+    blocks = _packed(blocked, "product_id", ("ids", "days", "vectors"))
+    rows = pairs.join(tiles, ["tile", "tile_part"]).join(blocks, ["range", "part"])
+    rows = rows.select("keys", "asked", "theirs", "ids", "days", "vectors")
+    # A row holds a tile and a block: batches end by size.
+    queries.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    lists = rows.mapInArrow(kernels.search(k, cfg.similarity_digits), kernels.FOUND_ROW)
     best = Window.partitionBy("vector_key", "day").orderBy(F.col("similarity").desc(), F.col("analog_id"))
     return (
         lists.withColumn("rank", F.row_number().over(best))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from premiere.streaming import scoring
 DEMAND = DemandConfig()
 TRAINING = TrainingConfig()
 FOREST = TrainingConfig()
+# Small enough that the given tables fill many blocks and tiles.
+SIMILARITY = DemandConfig(block_rows=150, tile_rows=200)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +64,7 @@ def launched(spark: SparkSession, folder: str) -> DataFrame:
 
 def _ranked(spark: SparkSession, folder: str) -> DataFrame:
     rows = launched(spark, folder)
-    return _stage(spark, folder, "ranked-analogs", lambda: analogs.ranked_analogs(rows, rows, DEMAND))
+    return _stage(spark, folder, "ranked-analogs", lambda: analogs.ranked_analogs(rows, rows, SIMILARITY))
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
@@ -230,7 +233,7 @@ def product_history(spark: SparkSession, folder: str) -> DataFrame:
 
 def similar_products_topk(spark: SparkSession, folder: str) -> DataFrame:
     rows = launched(spark, folder)
-    lists = analogs.similar_products(analogs.ranked_analogs(rows, rows, DEMAND))
+    lists = analogs.similar_products(analogs.ranked_analogs(rows, rows, SIMILARITY))
     return rounded(lists.select("product_id", F.inline("top5_similar_products")))
 
 
@@ -238,7 +241,7 @@ def matured_similar_products(spark: SparkSession, folder: str) -> DataFrame:
     """Only analogs whose three launch months were over."""
     rows = launched(spark, folder)
     points = similarity.query_points(rows).drop("vector")
-    best = similarity.similar_launches(rows, rows, DemandConfig(require_matured=True))
+    best = similarity.similar_launches(rows, rows, replace(SIMILARITY, require_matured=True))
     return rounded(
         points.join(best, ["vector_key", "day"]).select("product_id", "rank", "analog_id", "similarity")
     )

@@ -1,4 +1,4 @@
-"""Pruned block search next to brute force: ties, copies, zero and missing vectors."""
+"""Block search next to brute force: ties, copies, zero and missing vectors."""
 
 import datetime as dt
 
@@ -78,7 +78,7 @@ def next_day(d):
 def test_top_k_equals_brute_force(spark, clustered, block_rows, same):
     known = products(260, "h", 1, clustered)
     asked = known if same else products(90, "q", 2, clustered)
-    cfg = DemandConfig(block_rows=block_rows, chunk_rows=30)
+    cfg = DemandConfig(block_rows=block_rows, tile_rows=30)
     ranked = analogs.ranked_analogs(spark.createDataFrame(asked, SCHEMA), spark.createDataFrame(known, SCHEMA), cfg)
     got = {r.product_id: [(a.analog_id, a.similarity) for a in r.analogs] for r in ranked.collect()}
     for q in asked:
@@ -98,23 +98,33 @@ def test_only_matured_analogs(spark):
     assert all(a.analog_launch + dt.timedelta(days=89) <= dates[r.product_id] for r in ranked for a in r.analogs)
 
 
-def test_copies_shrink_and_far_blocks_are_skipped(spark, monkeypatch):
-    known = products(600, "h", 4, True)
-    df = spark.createDataFrame(known, SCHEMA)
-    cfg = DemandConfig(block_rows=20)
-    assert similarity._candidates(df, cfg).count() < df.count() * 0.95
-    planned = []
-    plan = similarity._plan_rest
-
-    def watch(first, blocks, columns):
-        rest = plan(first, blocks, columns)
-        planned.append((rest.count(), first.count() * (len(blocks.ids) - 1)))
-        return rest
-
-    monkeypatch.setattr(similarity, "_plan_rest", watch)
-    similarity.similar_launches(df, df, cfg).count()
-    visited, possible = planned[0]
-    assert visited < possible / 2
+def test_blocks_keep_their_size_and_the_plan_holds_ids_only(spark):
+    sizes = {}
+    for n in (300, 3000):
+        df = spark.createDataFrame(products(n, "h", 4, True), SCHEMA)
+        cfg = DemandConfig(block_rows=40)
+        candidates = similarity._candidates(df, cfg)
+        assert candidates.count() < n * 0.95
+        blocked = similarity._in_blocks(candidates, cfg.block_rows, ["product_id"])
+        groups = blocked.groupBy("range", "part").count()
+        sizes[n] = groups.agg(F.max("count")).first()[0]
+        tiled = similarity._in_blocks(similarity.query_points(df).drop("product_id"), 50, ["vector_key"])
+        plan = similarity.search_plan(tiled, blocked)
+        assert plan.columns == ["range", "tile", "tile_part", "part"]
+        possible = groups.count() * tiled.select("range", "part").distinct().count()
+        assert plan.distinct().count() == plan.count() < 0.7 * possible
+    assert max(sizes.values()) <= 3 * 40
+
+
+def test_a_hot_day_is_split(spark):
+    rows = spark.range(1000).selectExpr("id", "CAST(IF(id < 900, 7, id % 10) AS INT) day")
+    groups = similarity._in_blocks(rows, 50, ["id"]).groupBy("range", "part").count()
+    assert groups.agg(F.max("count")).first()[0] < 150 and groups.agg(F.sum("count")).first()[0] == 1000
+
+
+def test_missing_elements_are_no_shorter_vector(spark):
+    df = spark.createDataFrame([("a", [1.0, None, 2.0]), ("b", [1.0, 2.0])], "product_id string, product_embedding array<float>")
+    assert df.select(similarity._vector_key("product_embedding")).distinct().count() == 2
 
 
 def test_analog_features_against_plain_sums(spark):
