@@ -69,7 +69,8 @@ class TrainingConfig:
     loss: str = "huber"  # huber | mse | poisson | trees
     max_iter: int = 100
     tolerance: float = 1e-6
-    hashed_categories: int = 64
+    # Where squared loss turns linear, in deviations. Spark asks for more than 1 and estimates the scale.
+    huber_epsilon: float = 1.35
     selection_metric: str = "test_three_month_wape"
     lower_metric_is_better: bool = True
     # Risk model

@@ -51,7 +51,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float,
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__size"))
     train = F.col("__position") <= F.col("__size") - F.round(F.col("__size") * F.lit(test_fraction))
     return (
-        placed.join(F.broadcast(sizes), label)
+        placed.join(sizes, label)
         .withColumn("dataset_split", F.when(train, "train").otherwise("test"))
         .drop("__position", "__size")
     )

@@ -466,6 +466,9 @@ _VOCABULARIES = " UNION ALL ".join(
 )
 
 
+_SCORE_FACTS = "true AS is_verdict, true AS is_confidence, true AS level_agrees"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "launch_month_demand": _with(
@@ -630,4 +633,42 @@ def oracle_sql() -> dict[str, str]:
               FROM scored) GROUP BY np, nn""",
             "scored",
         ),
+        "title_vectors": _with(
+            r"""SELECT product_id, 64 AS dimensions, CASE WHEN regexp_matches(title, '\w') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+              AS length, true AS is_vector FROM products""",
+            "products",
+        ),
+        "fraud_scores": _with(
+            f"""SELECT transaction_id, is_fraud, coalesce(nullif({_REASONS}, ''), '{risk.NO_REASON}') AS reasons, {_SCORE_FACTS}
+            FROM (SELECT *, {_TEST_ROW} > {_CLASS_SIZE} - round({_CLASS_SIZE} * 0.2::DOUBLE) AS is_test FROM encoded)
+            WHERE is_test""",
+            "encoded",
+        ),
+        "stream_transaction_scores": _with(
+            f"""SELECT transaction_id, coalesce(nullif({_REASONS}, ''), '{risk.NO_REASON}') AS reasons, {_SCORE_FACTS}
+            FROM encoded""",
+            "encoded",
+        ),
+        "risk_model_quality": _with(
+            f"""SELECT CAST(count(*) AS INTEGER) AS test_rows, true AS accuracy_reached, true AS auc_reached
+            FROM (SELECT *, {_TEST_ROW} > {_CLASS_SIZE} - round({_CLASS_SIZE} * 0.2::DOUBLE) AS is_test FROM txn)
+            WHERE is_test""",
+            "txn",
+        ),
+        "demand_forecast": _with(
+            """SELECT product_id, true AS is_forecast, true AS adds_up FROM history JOIN day_split USING (launch_date)
+            WHERE dataset_split = 'test' AND m3_qty IS NOT NULL""",
+            "history",
+            "day_split",
+        ),
+        "training_history": "SELECT unnest(['m1', 'm2', 'm3']) AS horizon, true AS loss_fell, true AS is_validated",
+        "appended_predictions": _with(
+            "SELECT product_id, true AS is_forecast, true AS adds_up FROM announced", "announced"
+        ),
+        "stream_product_scores": _with(
+            "SELECT product_id, true AS is_forecast, true AS adds_up FROM announced", "announced"
+        ),
+        "latest_run": _with(
+            "SELECT run_id, evaluated_at AS started_at FROM runs ORDER BY evaluated_at DESC, run_id DESC LIMIT 1", "runs"
+        ),
     }
