@@ -8,12 +8,14 @@ follows the text. Labels come from `labels` in sf_dir.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premiere.llm import language_id, line_dedup, packing, quality_model, simhash
 from premiere.llm.common import table
-from premiere.session import materialise
+from premiere.session import materialise, scratch_dir, scratch_scope
 
 MIN_QUALITY = 0.5
 MIN_LANGUAGE_SCORE = 0.25
@@ -76,8 +78,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`."""
+    """All stages over `documents`. What a stage writes on its way goes once its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = f"{scratch_dir(spark)}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+        with scratch_scope(spark):
+            built = stage(spark, docs, sf_dir)
+            built.write.parquet(path)
+        docs = spark.read.schema(built.schema).parquet(path)
     return docs

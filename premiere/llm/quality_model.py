@@ -11,7 +11,7 @@ features reach the driver: some 2 MB. Scoring is a sum of table rows per batch,
 
 Defined cases: NULL texts are empty and are scored like any text; rows with a NULL id or label are never
 learned from; without labels of both kinds every score is the share of label 1 (0.5 without any); of
-labels given twice for one id both count; repeated rows are scored row by row.
+two different labels of one id both count; repeated rows are scored row by row.
 """
 
 from __future__ import annotations
@@ -209,10 +209,14 @@ def fit(x: np.ndarray, y: np.ndarray) -> Additive:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> DataFrame:
-    """Texts and labels of at most `rows` labelled documents; `learn` is a condition on doc_id."""
+    """Texts and labels of at most `rows` labels; `learn` is a condition on doc_id.
+
+    Of several texts with one id the smallest is taken, so repeated rows do not add to the bound.
+    """
     chosen = labels.filter(learn & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     chosen = chosen.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "quality")
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id")
+    return labelled.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("text", "quality")
 
 
 def fit_on(rows: DataFrame) -> Additive:
