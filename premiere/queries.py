@@ -31,7 +31,7 @@ DEMAND = DemandConfig()
 TRAINING = TrainingConfig()
 FOREST = TrainingConfig()
 # Small enough that the given tables fill many blocks and tiles.
-SIMILARITY = DemandConfig(block_rows=150, tile_rows=200)
+SIMILARITY = DemandConfig(block_rows=240, tile_rows=500)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
