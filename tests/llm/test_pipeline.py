@@ -24,6 +24,7 @@ def test_filtering_stages_return_the_columns_of_documents(spark, folder):
     docs = awkward(spark)
     for name in list(STAGES)[:4]:
         assert STAGES[name](spark, docs, folder).columns == docs.columns
+    for name in list(STAGES)[:2]:  # the operators' own tests take empty tables through the others
         assert STAGES[name](spark, docs.limit(0), folder).count() == 0
 
 
