@@ -46,9 +46,21 @@ def _stage(spark: SparkSession, folder: str, name: str, build: Callable[[], Data
     return _STAGES[key]
 
 
+# Models fitted by this session, kept like the stages.
+_MODELS: dict[tuple[str, str, str], object] = {}
+
+
+def _fitted(spark: SparkSession, folder: str, name: str, fit: Callable[[], object]):
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _MODELS:
+        _MODELS[key] = fit()
+    return _MODELS[key]
+
+
 def forget_stages() -> None:
-    """Make the next query write its stages again."""
+    """Make the next query write its stages and fit its models again."""
     _STAGES.clear()
+    _MODELS.clear()
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -495,10 +507,19 @@ def _risk_split(spark: SparkSession, folder: str) -> DataFrame:
 
 def _risk_model(spark: SparkSession, folder: str):
     """Fitted on the train split, saved and loaded."""
-    train = transactions.encode(_risk_split(spark, folder).filter(F.col("dataset_split") == "train"))
-    path = scratch_path(spark, "risk-model")
-    training.fit_risk_model(train, FOREST).write().overwrite().save(path)
-    return training.load_risk_model(path)
+
+    def fit():
+        train = transactions.encode(_risk_split(spark, folder).filter(F.col("dataset_split") == "train"))
+        path = scratch_path(spark, "risk-model")
+        training.fit_risk_model(train, FOREST).write().overwrite().save(path)
+        return training.load_risk_model(path)
+
+    return _fitted(spark, folder, "risk-model", fit)
+
+
+def _demand_model(spark: SparkSession, folder: str):
+    """Fitted on the train split, and the split table."""
+    return _fitted(spark, folder, "demand-model", lambda: training.run_training(_features(spark, folder), TRAINING))
 
 
 def fraud_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -521,13 +542,13 @@ def risk_model_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def demand_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Models of the three months fitted on the train split, applied to the test split."""
-    model, split = training.run_training(_features(spark, folder), TRAINING)
+    model, split = _demand_model(spark, folder)
     return _forecast_facts(model.predict(split.filter(F.col("dataset_split") == "test")))
 
 
 def training_history(spark: SparkSession, folder: str) -> DataFrame:
     """Per horizon: whether the fitted model's loss fell from its first to its last step, and was validated."""
-    model, _ = training.run_training(_features(spark, folder), TRAINING)
+    model, _ = _demand_model(spark, folder)
     steps = training.training_history(spark, model)
     first, last = (f("train_loss", "epoch") for f in (F.min_by, F.max_by))
     return steps.groupBy("horizon").agg(
@@ -537,7 +558,7 @@ def training_history(spark: SparkSession, folder: str) -> DataFrame:
 
 def appended_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """All announced parts, predicted by the fitted model and appended to a log twice over."""
-    model, _ = training.run_training(_features(spark, folder), TRAINING)
+    model, _ = _demand_model(spark, folder)
     log, announced = scratch_path(spark, "prediction-log"), adapters.new_products(spark, folder)
     training.append_predictions(
         announced, model, launched(spark, folder), fact(spark, folder), DEMAND, log, adapters.product_vectors(spark, folder)
@@ -567,7 +588,7 @@ def stream_product_scores(spark: SparkSession, folder: str) -> DataFrame:
     announced = adapters.new_products(spark, folder)
     feed = scratch_path(spark, "product-feed")
     tables.overwrite_table(announced, feed)
-    model = training.fit_demand_model(materialise(_split(spark, folder), "split-features"), TRAINING)
+    model, _ = _demand_model(spark, folder)
     known = adapters.product_vectors(spark, folder)
     lines, launches = fact(spark, folder), launched(spark, folder)
 
