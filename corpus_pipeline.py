@@ -57,7 +57,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     ids = numbered.select("_near_row", "doc_id").join(groups, "_near_row")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_near_row")).alias("first")
     kept = materialise(ids.groupBy("component_id").agg(first).select(F.col("first._near_row").alias("_near_row")), "kept")
-    return numbered.join(kept, "_near_row", "left_semi").select(*docs.columns)
+    # The same plan at every size, as in line dedup: texts are dealt once and meet the row numbers unsorted.
+    return numbered.join(kept.hint("shuffle_hash"), "_near_row", "left_semi").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
