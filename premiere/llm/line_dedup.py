@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from premiere.llm.common import WORD, join_spread, let
 from premiere.session import materialise
 
-MIN_WORDS = 50
+#: Chance repeats are shorter runs; a licence, header or footer line has so many words alone.
+MIN_WORDS = 8
 _ROW = "_line_dedup_row"
 
 

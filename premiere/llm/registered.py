@@ -36,8 +36,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without later copies of runs of lines."""
-    left = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    """All documents without later copies of runs of lines of LINE_DEDUP_SQL's 50 words, not the operator's 8."""
+    left = line_dedup.line_dedup(table(spark, sf_dir, "documents"), min_words=50)
     return left.select("doc_id", "deleted_lines", F.length("text").alias("left_chars"), F.md5(F.col("text").cast("binary")).alias("left_md5"))
 
 

@@ -149,3 +149,11 @@ def test_line_dedup_keeps_other_columns_and_takes_awkward_rows(spark):
     texts = [r.text for r in got.filter("doc_id < 3").collect()]
     assert sorted(map(len, texts))[:2] == [0, 0] and sum(map(len, texts)) == len(prose(1, 90))
     assert line_dedup.line_dedup(empty(spark)).count() == 0
+
+
+def test_line_dedup_takes_a_short_boilerplate_line_and_leaves_chance_repeats(spark):
+    notice, chance = "All rights reserved by the owners of this site", "see the next page"
+    rows = [(i, "\n".join([prose(i, 30), notice, prose(100 + i, 30), chance])) for i in range(5)]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got if notice in r.text} == {0}
+    assert all(chance in r.text and r.deleted_lines == (r.doc_id > 0) for r in got)
