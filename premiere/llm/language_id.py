@@ -1,13 +1,18 @@
 """Language identification by bit-sliced Bloom filters of character trigrams.
 
 A language's trigrams are those that make up at least MIN_SHARE of its training text and are not much
-commoner in another language. All languages share one Bloom filter whose slots hold a bit per language:
-the AND of a trigram's slots is the set of all languages that contain it, in one look-up. A text's
-trigrams are counted per language, less the false positives that the filter's fill predicts; the
+commoner in another language. The languages of a slice share one Bloom filter whose slots hold a bit per
+language: the AND of a trigram's slots is the set of all its languages that contain it, in one look-up. A
+text's trigrams are counted per language, less the false positives that the filter's fill predicts; the
 language with the most wins, and its share of the text's trigrams is the score.
 
-The filter is bounded: at most 1 / LANGUAGE_SHARE languages (those with that share of the training
-documents), each with at most 1 / MIN_SHARE trigrams.
+Every language of the training documents is learned. A slice holds up to SLICE_LANGUAGES languages, the
+commonest first, and ends earlier where its filter would pass SLICE_WORDS or its pairs SLICE_PAIRS; a
+language beyond that alone is cut by trigram into several slices. One slice judges each batch as it comes. Of
+several, one at a time is built, sent and run over all texts, and their counts meet by row; the names and
+sizes of the languages are all that the driver holds of every one. A trigram that another language has over
+MAX_RATIO times as often leaves a language's set; of the other's share so much counts as its documents
+vouch for (two standard errors below), so that a handful of documents takes nothing from a common language.
 
 Defined cases: NULL texts and texts without a letter are `und` with score 0, as is every text when
 nothing was learned; a text none of whose trigrams is known gets the commonest language and score 0;
@@ -29,7 +34,9 @@ from pyspark.sql import functions as F
 from premiere.llm.common import bounded_batches, per_batch
 from premiere.session import materialise
 
-LANGUAGE_SHARE = 1 / 256
+SLICE_LANGUAGES = 256
+SLICE_WORDS = 1 << 24  # 64-bit words of a filter
+SLICE_PAIRS = 1 << 23  # (trigram, language) pairs
 MIN_SHARE = 2e-5
 MAX_RATIO = 4.0
 SLOTS_PER_GRAM = 16
@@ -74,25 +81,29 @@ def _chunks(texts: list[str | None]) -> Iterator[slice]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigram counts per language of a task's rows."""
+    """Trigrams per language of a task's rows: how often they occur, and in how many documents."""
     held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def emitted() -> Iterator[pa.RecordBatch]:
         for lang, (codes, n) in held.items():
-            columns = [pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
+            columns = [pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), *map(pa.array, n)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n", "docs"])
         held.clear()
 
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        texts = batch.column("text").to_pylist()
-        for lang, part in ((lang, part) for lang in set(langs) for part in _chunks(texts)):
-            codes, _ = trigrams([t for t, own in zip(texts[part], langs[part]) if own == lang])
-            codes, n = np.unique(codes, return_counts=True)
+        texts: dict[str, list[str | None]] = {}
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            texts.setdefault(lang, []).append(text)
+        for lang, part in ((lang, own[part]) for lang, own in texts.items() for part in _chunks(own)):
+            codes, doc = trigrams(part)
+            codes, inverse, n = np.unique(codes, return_inverse=True, return_counts=True)
+            pairs = np.unique(inverse * len(part) + doc)
+            n = np.stack([n, np.bincount(pairs // len(part), minlength=len(codes))]).astype(np.int64)
             if lang in held:
                 codes, inverse = np.unique(np.concatenate([held[lang][0], codes]), return_inverse=True)
-                n = np.bincount(inverse, np.concatenate([held[lang][1], n])).astype(np.int64)
-            held[lang] = (codes, n.astype(np.int64))
+                both = np.concatenate([held[lang][1], n], axis=1)
+                n = np.stack([np.bincount(inverse, x, minlength=len(codes)) for x in both]).astype(np.int64)
+            held[lang] = (codes, n)
         if sum(len(c) for c, _ in held.values()) > _HELD:
             yield from emitted()
     yield from emitted()
@@ -113,24 +124,31 @@ class Filter:
             found &= self.slots[_slot(codes, k, len(self.slots))]
         return found
 
-    def decide(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        parts = [self._decide(texts[part]) for part in _chunks(texts)]
-        return [lang for langs, _ in parts for lang in langs], np.concatenate([score for _, score in parts])
+    def counts(self, texts: list[str | None], part: int = 0, parts: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every text: its best language's number, how many trigrams that knows, and how many there are.
 
-    def _decide(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        Only codes whose remainder by `parts` is `part` are looked up.
+        """
+        if not self.languages:
+            return np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
+        each = [self._counts(texts[x], part, parts) for x in _chunks(texts)]
+        return tuple(np.concatenate(x) for x in zip(*each))
+
+    def _counts(self, texts: list[str | None], part: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         codes, doc = trigrams(texts)
+        total = np.bincount(doc, minlength=len(texts)).astype(float)
+        if parts > 1:
+            own = codes % np.uint64(parts) == part
+            codes, doc = codes[own], doc[own]
         n = np.bincount(doc, minlength=len(texts)).astype(float)
-        if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
         found = self.members(codes)
-        hits = np.empty((len(texts), len(self.languages)))
+        best, most = np.zeros(len(texts), np.int64), np.full(len(texts), -1.0)
         for i, rate in enumerate(self.false_rate):
             bit = (found[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-            hits[:, i] = np.bincount(doc, bit, minlength=len(texts))
-            hits[:, i] = np.maximum(0, (hits[:, i] - n * rate) / (1 - rate)) if rate < 1 else 0
-        best = hits.argmax(axis=1)
-        score = np.where(n > 0, hits[np.arange(len(texts)), best] / np.maximum(n, 1), 0.0)
-        return [self.languages[b] if k else UNKNOWN for b, k in zip(best, n)], np.minimum(score, 1.0)
+            hits = np.bincount(doc, bit, minlength=len(texts))
+            hits = np.maximum(0, (hits - n * rate) / (1 - rate)) if rate < 1 else np.zeros(len(texts))
+            best, most = np.where(hits > most, i, best), np.maximum(hits, most)
+        return best, most, total
 
 
 def _slot(codes: np.ndarray, k: int, slots: int) -> np.ndarray:
@@ -139,9 +157,14 @@ def _slot(codes: np.ndarray, k: int, slots: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) & np.uint64(slots - 1)).astype(np.int64)
 
 
+def _slots_for(grams: int) -> int:
+    """Slots, a power of two, for so many trigrams of the language with the most."""
+    return 1 << max(10, int(grams * SLOTS_PER_GRAM - 1).bit_length())
+
+
 def build_filter(languages: list[str], grams: np.ndarray, owner: np.ndarray) -> Filter:
-    """Filter of (trigram, number of its language) pairs; slots are a power of two."""
-    size = 1 << max(10, int(len(np.unique(grams)) * SLOTS_PER_GRAM - 1).bit_length())
+    """Filter of (trigram, number of its language) pairs. Its slots follow the language with the most."""
+    size = _slots_for(np.bincount(owner).max() if len(owner) else 0)
     slots = np.zeros((size, -(-len(languages) // 64) or 1), np.uint64)
     for k in range(HASHES):
         bit = np.uint64(1) << (owner % 64).astype(np.uint64)
@@ -150,37 +173,130 @@ def build_filter(languages: list[str], grams: np.ndarray, owner: np.ndarray) ->
     return Filter(languages, slots, np.array(fill) ** HASHES)
 
 
-def learn(docs: DataFrame, condition: Column) -> Filter:
+@dataclass
+class Slice:
+    """Languages from `first` on, or the trigrams of one whose remainder by `parts` is `part`."""
+
+    first: int
+    languages: list[str]
+    part: int = 0
+    parts: int = 1
+
+
+@dataclass
+class Learned:
+    """All languages, commonest first, their slices, and the written (lang, gram) pairs."""
+
+    languages: list[str]
+    slices: list[Slice]
+    pairs: DataFrame | None
+
+    def filter_of(self, s: Slice) -> Filter:
+        """The filter of one slice. Runs a job."""
+        if self.pairs is None or not s.languages:
+            return build_filter([], np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        number = self.pairs.sparkSession.createDataFrame(list(enumerate(s.languages)), "owner int, lang string")
+        pairs = self.pairs.filter(F.col("gram") % s.parts == s.part).join(F.broadcast(number), "lang")
+        rows = pairs.select("owner", "gram").toPandas()
+        return build_filter(s.languages, rows["gram"].to_numpy(np.int64).view(np.uint64), rows["owner"].to_numpy(np.int64))
+
+
+def slices_of(languages: list[str], grams: list[int], most_languages: int, words: int, pairs: int) -> list[Slice]:
+    """Slices of languages in order, each within the bounds; a language beyond them alone is cut into parts."""
+    out: list[Slice] = []
+    held: list[int] = []
+
+    def fits(x: list[int]) -> bool:
+        return len(x) <= most_languages and sum(x) <= pairs and _slots_for(max(x)) * -(-len(x) // 64) <= words
+
+    for i, n in enumerate(grams):
+        if held and fits([*held, n]):
+            held.append(n)
+            out[-1].languages.append(languages[i])
+        elif fits([n]):
+            held = [n]
+            out.append(Slice(i, [languages[i]]))
+        else:
+            held, bound = [], max(1, min(pairs, words // SLOTS_PER_GRAM) * 7 // 8)
+            parts = -(-n // bound)
+            out += [Slice(i, [languages[i]], p, parts) for p in range(parts)]
+    return out
+
+
+def learn(
+    docs: DataFrame, condition: Column, slice_languages: int = SLICE_LANGUAGES, slice_pairs: int = SLICE_PAIRS
+) -> Learned:
     """Learn from text and lang of the documents for which the condition holds. Runs jobs."""
     bounded_batches(docs.sparkSession)
     known = docs.filter(condition & F.col("lang").isNotNull()).select("lang", "text")
     sizes = materialise(known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")), "language-sizes")
-    total = sizes.agg(F.sum("docs")).first()[0] or 0
-    frequent = sizes.filter(F.col("docs") >= LANGUAGE_SHARE * total).orderBy(F.col("docs").desc(), "lang").collect()
-    languages = [r["lang"] for r in frequent]
-    if not languages:
-        return build_filter([], np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    counted = known.filter(F.col("lang").isin(languages)).mapInArrow(_counts, "lang string, gram long, n long")
-    counts = materialise(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
+    counted = known.mapInArrow(_counts, "lang string, gram long, n long, docs long")
+    summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = materialise(summed, "trigrams")
     sums = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     shares = counts.join(F.broadcast(sums), "lang").withColumn("share", F.col("n") / F.col("all"))
-    highest = F.max("share").over(Window.partitionBy("gram"))
+    vouched = F.col("share") * F.greatest(F.lit(0.0), 1 - 2 / F.sqrt("docs"))
+    highest = F.max(vouched).over(Window.partitionBy("gram"))
     own = shares.filter(F.col("share") >= MIN_SHARE).withColumn("highest", highest)
-    rows = own.filter(F.col("share") * MAX_RATIO >= F.col("highest")).select("lang", "gram").toPandas()
-    number = {lang: i for i, lang in enumerate(languages)}
-    owner = rows["lang"].map(number).to_numpy(np.int64)
-    return build_filter(languages, rows["gram"].to_numpy(np.int64).view(np.uint64), owner)
+    kept = own.filter(F.col("share") * MAX_RATIO >= F.col("highest")).select("lang", "gram")
+    kept = materialise(kept, "language-trigrams")
+    per_language = sizes.join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("grams")), "lang", "left")
+    rows = per_language.orderBy(F.col("docs").desc(), "lang").collect()
+    names = [r["lang"] for r in rows]
+    return Learned(names, slices_of(names, [r["grams"] or 0 for r in rows], slice_languages, SLICE_WORDS, slice_pairs), kept)
 
 
-def identified(docs: DataFrame, learned: Filter) -> DataFrame:
-    """All rows of docs with `lang_pred` and `lang_score`."""
-    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
-    shared = docs.sparkSession.sparkContext.broadcast(learned)
+def _judged(docs: DataFrame, learned: Learned) -> DataFrame:
+    """All rows with `number` of their language, `hits` and `total`, by the only slice there is."""
+    one = learned.slices[0] if learned.slices else Slice(0, [])
+    shared = docs.sparkSession.sparkContext.broadcast(learned.filter_of(one))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, score = shared.value.decide(batch.column("text").to_pylist())
-        columns = [*map(batch.column, names), pa.array(langs, pa.string()), pa.array(score)]
-        return pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "lang_score"])
+        best, hits, total = shared.value.counts(batch.column("text").to_pylist())
+        columns = [*batch.columns, pa.array(best), pa.array(hits), pa.array(total)]
+        return pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_number", "_hits", "_total"])
+
+    schema = docs.select("*").schema  # add() changes a schema in place
+    return per_batch(docs, run, schema.add("_number", "long").add("_hits", "double").add("_total", "double"))
+
+
+def _judged_by_slices(docs: DataFrame, learned: Learned) -> DataFrame:
+    """As _judged, slice after slice; a row's counts of all slices meet by its number."""
+    context = docs.sparkSession.sparkContext
+    numbered = materialise(docs.withColumn("_language_row", F.monotonically_increasing_id()), "documents")
+
+    def judge(s: Slice) -> DataFrame:
+        shared = context.broadcast(learned.filter_of(s))
+        first, part, parts = s.first, s.part, s.parts
 
-    schema = docs.select(*names).schema.add("lang_pred", "string").add("lang_score", "double")
-    return per_batch(docs.select(*names), run, schema)
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            best, hits, total = shared.value.counts(batch.column("text").to_pylist(), part, parts)
+            columns = [batch.column("_language_row"), pa.array(best + first), pa.array(hits), pa.array(total)]
+            return pa.RecordBatch.from_arrays(columns, ["_language_row", "_number", "_hits", "_total"])
+
+        schema = "_language_row long, _number long, _hits double, _total double"
+        found = materialise(per_batch(numbered.select("_language_row", "text"), run, schema), "slice-counts")
+        shared.destroy()
+        return found
+
+    found = functools.reduce(DataFrame.unionByName, map(judge, learned.slices))
+    # Parts of one language add up; of several languages the most hits win, then the commonest.
+    added = found.groupBy("_language_row", "_number").agg(F.sum("_hits").alias("_hits"), F.max("_total").alias("_total"))
+    best = F.max(F.struct("_hits", (-F.col("_number")).alias("back"), "_total")).alias("x")
+    won = added.groupBy("_language_row").agg(best)
+    won = won.select("_language_row", (-F.col("x.back")).alias("_number"), "x._hits", "x._total")
+    # The same plan at every size, as in line dedup.
+    return numbered.join(won.hint("shuffle_hash"), "_language_row").drop("_language_row")
+
+
+def identified(docs: DataFrame, learned: Learned) -> DataFrame:
+    """All rows of docs with `lang_pred` and `lang_score`. Runs a job; with several slices one per slice."""
+    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
+    rows = docs.select(*names)
+    judged = _judged(rows, learned) if len(learned.slices) < 2 else _judged_by_slices(rows, learned)
+    listed = list(enumerate(learned.languages))
+    table = docs.sparkSession.createDataFrame(listed, "_number long, _lang string")
+    judged = judged.join(F.broadcast(table), "_number", "left")
+    pred = F.when(F.col("_total") > 0, F.col("_lang")).otherwise(UNKNOWN)
+    score = F.when(F.col("_total") > 0, F.least(F.lit(1.0), F.col("_hits") / F.col("_total"))).otherwise(0.0)
+    return judged.select(*names, F.coalesce(pred, F.lit(UNKNOWN)).alias("lang_pred"), score.alias("lang_score"))

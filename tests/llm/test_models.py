@@ -140,6 +140,31 @@ def test_language_of_awkward_rows_and_no_rows(spark):
     assert language_id.identified(empty(spark), learned).count() == 0
 
 
+def spelled(seed, first):
+    """Words of a text in letters from code point `first` on."""
+    return re.sub(r"[a-z0-9]", lambda m: chr(first + int(m[0], 36)), prose(seed, 60))
+
+
+def test_rare_languages_are_learned_beside_a_common_one(spark):
+    rows = [(i, prose(i, 30), "en") for i in range(1200)]
+    rows += [(2000 + 10 * k + i, spelled(i, 0x430 + 64 * k), f"rare{k}") for k in range(3) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = {i: lang for i, _, lang in rows}
+    for bounds in ({}, {"slice_languages": 2}, {"slice_pairs": 200}):
+        learned = language_id.learn(docs, F.lit(True), **bounds)
+        assert len(learned.slices) == 1 if not bounds else len(learned.slices) > 1
+        got = language_id.identified(docs, learned).collect()
+        assert {r.doc_id: r.lang_pred for r in got} == want and len(got) == len(rows)
+        assert all(r.lang_score > 0.8 for r in got if r.doc_id >= 2000)
+
+
+def test_slices_hold_their_bounds_and_every_language():
+    names, grams = [f"l{i}" for i in range(600)], [90_000] + [700] * 598 + [0]
+    slices = language_id.slices_of(names, grams, 256, 1 << 17, 100_000)
+    assert [x for s in slices for x in s.languages if s.part == 0] == names
+    assert max(len(s.languages) for s in slices) <= 256 and slices[0].parts > 1
+
+
 # PPM -----------------------------------------------------------------------------------
 
 
