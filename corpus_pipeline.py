@@ -18,7 +18,7 @@ from premiere.llm.common import table
 from premiere.session import materialise, scratch_dir, scratch_scope
 
 MIN_QUALITY = 0.5
-MIN_LANGUAGE_SCORE = 0.25
+MIN_LANGUAGE_SCORE = 0.25  # of what training text of the language reaches
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: neither without letters nor foreign to every language's trigrams."""
     judged = language_id.identified(docs, language_id.learn(docs, F.lit(True)))
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("lang_score") >= MIN_LANGUAGE_SCORE)
+    enough = F.col("lang_score") >= MIN_LANGUAGE_SCORE * F.col("lang_known")
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & enough
     return judged.filter(known).select(*docs.columns)
 
 

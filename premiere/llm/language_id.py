@@ -1,10 +1,12 @@
 """Language identification by bit-sliced Bloom filters of character trigrams.
 
-A language's trigrams are those that make up at least MIN_SHARE of its training text and are not much
-commoner in another language. The languages of a slice share one Bloom filter whose slots hold a bit per
+A language's trigrams are those seen in two or more of its training documents (in one, if it has no more)
+and not much commoner in another language. The languages of a slice share one Bloom filter whose slots hold a bit per
 language: the AND of a trigram's slots is the set of all its languages that contain it, in one look-up. A
 text's trigrams are counted per language, less the false positives that the filter's fill predicts; the
-language with the most wins, and its share of the text's trigrams is the score.
+language with the most wins, and its share of the text's trigrams is the score. What share its own training
+text reaches goes along: as each such trigram is in another document too, it is what a clean text not learned
+from can expect, and it is low where letters are many.
 
 Every language of the training documents is learned. A slice holds up to SLICE_LANGUAGES languages, the
 commonest first, and ends earlier where its filter would pass SLICE_WORDS or its pairs SLICE_PAIRS; a
@@ -37,7 +39,7 @@ from premiere.session import materialise
 SLICE_LANGUAGES = 256
 SLICE_WORDS = 1 << 24  # 64-bit words of a filter
 SLICE_PAIRS = 1 << 23  # (trigram, language) pairs
-MIN_SHARE = 2e-5
+MIN_DOCS = 2
 MAX_RATIO = 4.0
 SLOTS_PER_GRAM = 16
 HASHES = 3
@@ -185,9 +187,10 @@ class Slice:
 
 @dataclass
 class Learned:
-    """All languages, commonest first, their slices, and the written (lang, gram) pairs."""
+    """All languages, commonest first, the share of their training text they know, slices, and written (lang, gram) pairs."""
 
     languages: list[str]
+    known: list[float]
     slices: list[Slice]
     pairs: DataFrame | None
 
@@ -233,17 +236,18 @@ def learn(
     counted = known.mapInArrow(_counts, "lang string, gram long, n long, docs long")
     summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counts = materialise(summed, "trigrams")
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("all"))
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("all")).join(sizes.withColumnRenamed("docs", "of"), "lang")
     shares = counts.join(F.broadcast(sums), "lang").withColumn("share", F.col("n") / F.col("all"))
     vouched = F.col("share") * F.greatest(F.lit(0.0), 1 - 2 / F.sqrt("docs"))
     highest = F.max(vouched).over(Window.partitionBy("gram"))
-    own = shares.filter(F.col("share") >= MIN_SHARE).withColumn("highest", highest)
-    kept = own.filter(F.col("share") * MAX_RATIO >= F.col("highest")).select("lang", "gram")
+    own = shares.filter(F.col("docs") >= F.least(F.lit(MIN_DOCS), "of")).withColumn("highest", highest)
+    kept = own.filter(F.col("share") * MAX_RATIO >= F.col("highest")).select("lang", "gram", "share")
     kept = materialise(kept, "language-trigrams")
-    per_language = sizes.join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("grams")), "lang", "left")
-    rows = per_language.orderBy(F.col("docs").desc(), "lang").collect()
-    names = [r["lang"] for r in rows]
-    return Learned(names, slices_of(names, [r["grams"] or 0 for r in rows], slice_languages, SLICE_WORDS, slice_pairs), kept)
+    sums = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("grams"), F.sum("share").alias("known"))
+    rows = sizes.join(sums, "lang", "left").orderBy(F.col("docs").desc(), "lang").collect()
+    names, known_shares = [r["lang"] for r in rows], [r["known"] or 0.0 for r in rows]
+    slices = slices_of(names, [r["grams"] or 0 for r in rows], slice_languages, SLICE_WORDS, slice_pairs)
+    return Learned(names, known_shares, slices, kept)
 
 
 def _judged(docs: DataFrame, learned: Learned) -> DataFrame:
@@ -290,13 +294,17 @@ def _judged_by_slices(docs: DataFrame, learned: Learned) -> DataFrame:
 
 
 def identified(docs: DataFrame, learned: Learned) -> DataFrame:
-    """All rows of docs with `lang_pred` and `lang_score`. Runs a job; with several slices one per slice."""
-    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
+    """All rows of docs with `lang_pred`, `lang_score`, and in `lang_known` the score that training text of lang_pred has.
+
+    Runs a job; with several slices one per slice.
+    """
+    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_known")]
     rows = docs.select(*names)
     judged = _judged(rows, learned) if len(learned.slices) < 2 else _judged_by_slices(rows, learned)
-    listed = list(enumerate(learned.languages))
-    table = docs.sparkSession.createDataFrame(listed, "_number long, _lang string")
+    listed = [(i, *x) for i, x in enumerate(zip(learned.languages, learned.known))]
+    table = docs.sparkSession.createDataFrame(listed, "_number long, _lang string, _known double")
     judged = judged.join(F.broadcast(table), "_number", "left")
     pred = F.when(F.col("_total") > 0, F.col("_lang")).otherwise(UNKNOWN)
     score = F.when(F.col("_total") > 0, F.least(F.lit(1.0), F.col("_hits") / F.col("_total"))).otherwise(0.0)
-    return judged.select(*names, F.coalesce(pred, F.lit(UNKNOWN)).alias("lang_pred"), score.alias("lang_score"))
+    known = F.coalesce("_known", F.lit(0.0)).alias("lang_known")
+    return judged.select(*names, F.coalesce(pred, F.lit(UNKNOWN)).alias("lang_pred"), score.alias("lang_score"), known)

@@ -1,5 +1,7 @@
 """The pipeline's stages over small tables, and its decisions on planted cases."""
 
+import numpy as np
+
 import corpus_pipeline
 from premiere.llm.common import table
 
@@ -43,3 +45,13 @@ def test_near_stage_keeps_one_row_of_every_group(spark):
     assert len(kept) == len({(r.doc_id, r.text) for r in kept})
     assert sorted(r.doc_id for r in kept if r.text == prose(1, 90)) == [1]
     assert [r.doc_id for r in kept if not (r.text or "").split()] == [3]
+
+
+def test_language_stage_keeps_a_language_of_many_letters(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, x)) for x in rng.integers(0x4E00, 0x9FA0, (30_000, 4))]
+    rows = [(i, " ".join(words[k] for k in rng.integers(0, len(words), 60)), "zh") for i in range(1500)]
+    rows += [(5000 + i, prose(i, 60), "en") for i in range(500)] + [(9000, "\u03b1\u03b2\u03b3 " * 30, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in STAGES["language ID"](spark, docs, "").select("doc_id").collect()}
+    assert kept == {i for i, _, _ in rows} - {9000}
