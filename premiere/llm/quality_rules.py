@@ -5,8 +5,10 @@ compared with references by Jensen-Shannon distance (base 2, 0 to 1). References
 histograms of all documents of a language that pass the base rules. A text with too few words or
 characters gives a noisy histogram and is not judged by it.
 
-A language has its own reference if it holds at least a thousandth of all documents, so there are
-at most 1,000; documents of the others, or without a language, are compared with the whole table.
+Every language has its own reference. Those with a thousandth of all documents, at most 1,000, meet their
+rows by broadcast, the others in a shuffle join, where none of them is hot. A language whose sound documents
+have too few characters or words has no reference for that histogram, and a document without a language
+(NULL or '') has none at all: the distance is NULL then and not judged.
 
 Defined cases: a NULL text has no words, symbols or lines and fails the base rules; repeated rows and
 NULL ids are judged row by row; an empty table gives no rows; other columns are ignored.
@@ -30,6 +32,8 @@ COMMON_WORDS = 24
 LANGUAGE_SHARE = 1000
 MIN_JUDGED_WORDS = 60
 MIN_JUDGED_CHARS = 200
+MIN_REFERENCE_WORDS = 10 * MIN_JUDGED_WORDS
+MIN_REFERENCE_CHARS = 10 * MIN_JUDGED_CHARS
 MAX_WORD_DISTANCE = 0.4
 MAX_CLASS_DISTANCE = 0.25
 
@@ -90,9 +94,10 @@ def _removed(text: Column, pattern: str) -> Column:
 
 
 def common_words(docs: DataFrame) -> DataFrame:
-    """The commonest words of every language with a reference, and of the whole table (language '')."""
+    """The commonest words of every language."""
     words = F.explode(words_of(F.lower(F.coalesce("text", F.lit("")))))
-    counted = docs.select("language", words.alias("word")).groupBy("language", "word").agg(F.count(F.lit(1)).alias("n"))
+    counted = docs.filter("language IS NOT NULL").select("language", "frequent", words.alias("word"))
+    counted = counted.groupBy("language", "frequent", "word").agg(F.count(F.lit(1)).alias("n"))
     # A language's k commonest words are found per slice of the vocabulary first: no window holds it all.
     counted = counted.filter("n > 1").withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64)))
     order = [F.col("n").desc(), F.col("word")]
@@ -100,21 +105,39 @@ def common_words(docs: DataFrame) -> DataFrame:
     some = counted.withColumn("k", near).filter(F.col("k") <= COMMON_WORDS)
     first = F.row_number().over(Window.partitionBy("language").orderBy(*order))
     top = some.withColumn("k", first).filter(F.col("k") <= COMMON_WORDS)
-    return top.groupBy("language").agg(F.sort_array(F.collect_list("word")).alias("common"))
+    return top.groupBy("language", "frequent").agg(F.sort_array(F.collect_list("word")).alias("common"))
 
 
-def languages(docs: DataFrame) -> DataFrame:
-    """Languages with a thousandth of all documents or more: at most 1,000 rows."""
+def with_language(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """doc_id, text, language (NULL for none) and whether it is frequent; and whether there is a language that is not."""
     sizes = materialise(docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    return sizes.filter((F.col("n") * LANGUAGE_SHARE >= total) & F.col("lang").isNotNull() & (F.col("lang") != "")).select("lang")
+    frequent = F.col("n") * LANGUAGE_SHARE >= total
+    own = sizes.filter(F.col("lang").isNotNull() & (F.col("lang") != ""))
+    known = own.filter(frequent).select(F.col("lang").alias("language"), F.lit(True).alias("known"))
+    rows = docs.select("doc_id", "text", F.when(F.col("lang") != "", F.col("lang")).alias("language"))
+    rows = rows.join(F.broadcast(known), "language", "left").withColumn("frequent", F.coalesce("known", F.lit(False)))
+    return rows.select("doc_id", "text", "language", "frequent"), not own.filter(~frequent).isEmpty()
 
 
-def measured(docs: DataFrame, common: DataFrame) -> DataFrame:
-    """Base counts and both histograms of every row; `common` is at most 1,001 rows."""
-    rows = docs.join(F.broadcast(common), "language", "left").withColumn("common", F.coalesce("common", F.array().cast("array<string>")))
+def join_language(rows: DataFrame, per_language: DataFrame, rare: bool) -> DataFrame:
+    """Left join with one row per language; `rare` says whether there are languages that are not frequent.
+
+    Rows without a language are not shuffled: their one key would be one task's.
+    """
+    frequent = rows.filter("frequent OR language IS NULL")
+    joined = frequent.join(F.broadcast(per_language.filter("frequent").drop("frequent")), "language", "left")
+    if not rare:
+        return joined
+    others = rows.filter("NOT frequent AND language IS NOT NULL")
+    return joined.unionByName(others.join(per_language.filter("NOT frequent").drop("frequent"), "language", "left"))
+
+
+def measured(docs: DataFrame, common: DataFrame, rare: bool) -> DataFrame:
+    """Base counts and both histograms of every row."""
+    rows = join_language(docs, common, rare).withColumn("common", F.coalesce("common", F.array().cast("array<string>")))
     text = F.coalesce("text", F.lit(""))
-    rows = rows.select("doc_id", "language", "common", text.alias("text"), words_of(text).alias("words"))
+    rows = rows.select("doc_id", "language", "frequent", "common", text.alias("text"), words_of(text).alias("words"))
 
     def word_counts(x: Column) -> Column:
         hits = F.filter(x["lowered"], lambda w: F.array_contains(x["common"], w))
@@ -132,6 +155,7 @@ def measured(docs: DataFrame, common: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id",
         "language",
+        "frequent",
         F.size("words").cast("long").alias("n_words"),
         F.length("text").cast("long").alias("n_chars"),
         F.length(F.regexp_replace("text", SPACE + "+", "")).cast("long").alias("word_chars"),
@@ -173,12 +197,9 @@ def quality_rules(
 
     Runs jobs when called: common words, counts and references are written to the shared folder.
     """
-    known = F.broadcast(languages(docs).withColumnRenamed("lang", "language"))
-    rows = docs.select("doc_id", "text", F.col("lang").alias("language"))
-    rows = rows.join(known.withColumn("known", F.lit(True)), "language", "left")
-    rows = rows.select("doc_id", "text", F.when(F.col("known"), F.col("language")).otherwise("").alias("language"))
+    rows, rare = with_language(docs)
     common = materialise(common_words(rows), "common-words")
-    counts = materialise(measured(rows, common), "text-counts")
+    counts = materialise(measured(rows, common, rare), "text-counts")
 
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
@@ -187,20 +208,21 @@ def quality_rules(
     class_counts = _with_rest(F.concat("class_counts", F.array(space)), F.col("n_chars").cast("double"))
     counts = counts.withColumn("base_failed", failed).withColumn("class_counts", class_counts)
 
-    sound = counts.filter("NOT base_failed")
+    sound = counts.filter("NOT base_failed AND language IS NOT NULL")
     bins = len(CLASSES) + 2
     sums = [F.sum(F.col("class_counts")[i]).alias(f"c{i}") for i in range(bins)]
     # A language with fewer common words than the rest has NULL in the bins it lacks.
     sums += [F.sum(F.try_element_at("word_counts", F.lit(i + 1))).alias(f"w{i}") for i in range(COMMON_WORDS + 1)]
-    totals = sound.groupBy("language").agg(*sums)
+    totals = sound.groupBy("language", "frequent").agg(*sums, F.sum("n_chars").alias("chars"), F.sum("n_words").alias("words"))
     class_reference = shares(F.array(*[f"c{i}" for i in range(bins)]))
     word_reference = shares(F.filter(F.array(*[f"w{i}" for i in range(COMMON_WORDS + 1)]), lambda x: x.isNotNull()))
-    references = materialise(
-        totals.select("language", class_reference.alias("class_ref"), word_reference.alias("word_ref")), "references"
-    )
-    judged = counts.join(F.broadcast(references), "language", "left")
+    class_reference = F.when(F.col("chars") >= MIN_REFERENCE_CHARS, class_reference)
+    word_reference = F.when(F.col("words") >= MIN_REFERENCE_WORDS, word_reference)
+    references = totals.select("language", "frequent", class_reference.alias("class_ref"), word_reference.alias("word_ref"))
+    judged = join_language(counts, materialise(references, "references"), rare)
     by_class = jensen_shannon(shares(F.col("class_counts")), F.col("class_ref"))
     by_word = jensen_shannon(shares(F.col("word_counts")), F.col("word_ref"))
+    by_class, by_word = F.when(F.col("class_ref").isNotNull(), by_class), F.when(F.col("word_ref").isNotNull(), by_word)
     judged = judged.withColumns({"class_distance": by_class, "word_distance": by_word})
     far_class = (F.col("n_chars") >= MIN_JUDGED_CHARS) & (F.col("class_distance") > max_class_distance)
     far_words = (F.col("n_words") >= MIN_JUDGED_WORDS) & (F.col("word_distance") > max_word_distance)

@@ -61,6 +61,26 @@ def test_rules_drop_what_is_unlike_the_language(spark):
     assert kept == set(range(60))
 
 
+def test_rare_languages_have_references_of_their_own(spark):
+    rows = [(i, "word of it " * 2, "en") for i in range(9_000)]
+
+    def han(i):
+        return re.sub(r"[a-z0-9 ]", lambda m: chr(0x4E00 + ord(m[0])), prose(i, 90))
+
+    def russian(i):
+        return re.sub(r"[a-z]", lambda m: chr(0x430 + ord(m[0]) - 97), prose(i, 90))
+
+    rows += [(10_000 + i, " ".join(han(i)[k : k + 5] for k in range(0, 300, 5)), "zh") for i in range(8)]
+    rows += [(11_000 + i, russian(i), "ru") for i in range(8)] + [(12_000, russian(9), None), (12_001, han(9)[:30], "ja")]
+    rows += [(13_000, " ".join(f"{i}%" for i in range(100, 160)), "ru")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality_rules.quality_rules(docs).filter("doc_id >= 10000").collect()}
+    assert len(got) == 19
+    assert {i for i in got if got[i].kept} == {*range(10_000, 10_008), *range(11_000, 11_008), 12_000}
+    assert got[12_000].class_distance is None and got[12_001].class_distance is None
+    assert max(got[i].class_distance for i in range(10_000, 10_008)) < 0.05
+
+
 # Quality model -------------------------------------------------------------------------
 
 
