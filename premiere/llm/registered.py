@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from premiere.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, packing, ppm, quality_model, quality_rules, simhash
+from premiere.llm import bpe, chat_format, exact_dedup, fill_middle, language_id, line_dedup, packing, ppm
+from premiere.llm import quality_model, quality_rules, sharding, simhash
 from premiere.llm.common import id_remainder, table
 
 
@@ -95,6 +96,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as fill-in-middle examples."""
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("form"), F.col("output"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards: two to a rack, two racks to a region; and with a ninth."""
+    tree = sharding.even_tree(8)
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), tree, sharding.grown(tree))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_simhash,
@@ -107,6 +130,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_chat_format,
         op9_best_fit_packing,
         op10_language_id,
+        op11_fill_middle,
+        op13_sharding,
     )
     return {f.__name__: f for f in registered} | {"pipeline": corpus_pipeline.run}
 
@@ -249,6 +274,76 @@ SELECT f.doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols
 FROM failed f LEFT JOIN far c ON c.doc_id = f.doc_id AND c.kind = 'c' LEFT JOIN far x ON x.doc_id = f.doc_id AND x.kind = 'w'
 """
 
+FILL_MIDDLE_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), t AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t,
+           CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+           CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+    FROM d
+), cuts AS (
+    SELECT *, len(t) AS n, least(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS a, greatest(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM t
+), parts AS (
+    SELECT doc_id, text, n, form, array_to_string(t[1:a], '') AS p, array_to_string(t[a + 1:b], '') AS m,
+           array_to_string(t[b + 1:n], '') AS s
+    FROM cuts
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+# The table of CRC-32 follows from its polynomial, 0xEDB88320.
+SHARDING_SQL = r"""
+WITH tbl AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n] || range(8),
+           lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+), d AS (
+    SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+           list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+    FROM documents
+), measured AS (
+    SELECT doc_id, k, CAST(len(bytes) + 1 AS BIGINT) AS size,
+           xor(list_reduce([4294967295] || bytes, lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256])), 4294967295) AS text_crc32
+    FROM d, tbl
+), nodes AS (
+    SELECT * FROM (VALUES
+        (8, 1, '', '0', 4), (8, 1, '', '1', 4), (9, 1, '', '0', 4), (9, 1, '', '1', 4), (9, 1, '', '2', 1),
+        (0, 2, '0', '0/0', 2), (0, 2, '0', '0/1', 2), (0, 2, '1', '1/2', 2), (0, 2, '1', '1/3', 2), (0, 2, '2', '2/4', 1)
+    ) v(tree, level, parent, path, weight)
+    UNION ALL
+    SELECT 0, 3, CONCAT(s // 4, '/', s // 2), CONCAT(s // 4, '/', s // 2, '/', s), 1 FROM range(9) r(s)
+), draws AS (
+    SELECT doc_id, k, n.*, -ln((CAST('0x' || md5(k || '|' || path)[1:13] AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / weight AS e
+    FROM (SELECT DISTINCT doc_id, k FROM d), nodes n
+), best AS (
+    SELECT k, tree, level, parent, arg_min(path, e) AS path FROM draws GROUP BY k, tree, level, parent
+), placed AS (
+    SELECT r.k, r.tree, CAST(string_split(s.path, '/')[3] AS INTEGER) AS shard
+    FROM best r JOIN best a ON a.k = r.k AND a.level = 2 AND a.parent = r.path
+                JOIN best s ON s.k = r.k AND s.level = 3 AND s.parent = a.path
+    WHERE r.level = 1
+)
+SELECT m.doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, p.shard,
+       row_number() OVER (PARTITION BY p.shard ORDER BY m.doc_id NULLS FIRST) - 1 AS slot, g.shard AS grown_shard
+FROM measured m JOIN placed p ON p.k = m.k AND p.tree = 8 JOIN placed g ON g.k = m.k AND g.tree = 9
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": QUALITY_RULES_SQL, "op4_line_dedup": LINE_DEDUP_SQL, "op6_exact_dedup": EXACT_DEDUP_SQL, "op8_chat_format": CHAT_FORMAT_SQL}
+    return {
+        "op2_quality_rules": QUALITY_RULES_SQL,
+        "op4_line_dedup": LINE_DEDUP_SQL,
+        "op6_exact_dedup": EXACT_DEDUP_SQL,
+        "op8_chat_format": CHAT_FORMAT_SQL,
+        "op11_fill_middle": FILL_MIDDLE_SQL,
+        "op13_sharding": SHARDING_SQL,
+    }
