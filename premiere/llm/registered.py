@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from premiere.llm import bpe, chat_format, exact_dedup, fill_middle, language_id, line_dedup, packing, ppm
+from premiere.llm import phrases as collocations
 from premiere.llm import quality_model, quality_rules, sharding, simhash
 from premiere.llm.common import id_remainder, table
 
@@ -111,6 +112,11 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of every language of all documents."""
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards: two to a rack, two racks to a region; and with a ninth."""
     tree = sharding.even_tree(8)
@@ -131,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_best_fit_packing,
         op10_language_id,
         op11_fill_middle,
+        op12_phrases,
         op13_sharding,
     )
     return {f.__name__: f for f in registered} | {"pipeline": corpus_pipeline.run}
@@ -301,6 +308,39 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM parts
 """
 
+PHRASES_SQL = r"""
+WITH lowered AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), pieces AS (
+    SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM lowered
+), starts AS (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) r(k)
+), counted AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM starts GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang
+), f AS (
+    SELECT * FROM counted WHERE a >= 100
+), cuts AS (
+    SELECT lang, k, phrase, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS rest
+    FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1)
+), scores AS (
+    SELECT c.lang, c.k, c.phrase, c.a, c.cut, l.a AS l, r.a AS r, n,
+           CAST(1000::HUGEINT * c.a * n // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+    FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.rest
+                JOIN totals t ON t.lang = c.lang
+), best AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), whole AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM f q WHERE q.lang = b.lang AND q.k > b.k AND q.a >= b.a AND contains(' ' || q.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM whole QUALIFY rank <= 2000
+"""
+
 # The table of CRC-32 follows from its polynomial, 0xEDB88320.
 SHARDING_SQL = r"""
 WITH tbl AS (
@@ -345,5 +385,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_dedup": EXACT_DEDUP_SQL,
         "op8_chat_format": CHAT_FORMAT_SQL,
         "op11_fill_middle": FILL_MIDDLE_SQL,
+        "op12_phrases": PHRASES_SQL,
         "op13_sharding": SHARDING_SQL,
     }
