@@ -54,9 +54,9 @@ class DemandConfig:
     require_matured: bool = False
 
     similarity_digits: int = 9
-    # Launches of a block and queries of a tile; a task holds one of each.
-    block_rows: int = 4096
-    tile_rows: int = 2048
+    # Live cells of the search grid (0: the shuffle partitions), and vectors of a side a cell may hold.
+    search_tasks: int = 0
+    grid_rows: int = 16_384
     bucket_rows: int = 2000
     max_price_buckets: int = 512
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -115,21 +115,25 @@ def unit_rows(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 FOUND_ROW = "vector_key string, day int, analog_id string, similarity double"
 
 
-def search(k: int, digits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Kernel: the k best candidates of a block for every query of a tile, one row per pair."""
+def search(k: int, digits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Kernel of a grid cell: the k best candidates for every query."""
     tie = 2 * 10.0**-digits
-
-    def pair(row: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
-        asked, days = row["asked"].to_numpy(), row["days"].to_numpy()
-        by_ask, by_day = np.argsort(asked, kind="stable"), np.argsort(days, kind="stable")
-        asked, days = asked[by_ask], days[by_day]
-        ids = np.array(row["ids"].to_pylist(), dtype=object)[by_day]
+    names = ["vector_key", "day", "analog_id", "similarity"]
+    kinds = pa.schema([("vector_key", pa.string()), ("day", pa.int32()), ("analog_id", pa.string()), ("similarity", pa.float64())])
+
+    def cell(queries: pa.Table, candidates: pa.Table) -> pa.Table:
+        if not queries.num_rows or not candidates.num_rows:
+            return kinds.empty_table()
+        queries, candidates = queries.sort_by("day"), candidates.sort_by("day")
+        asked, days = queries["day"].to_numpy(), candidates["day"].to_numpy()
+        ids = np.array(candidates["id"].to_pylist(), dtype=object)
         id_rank = np.empty(len(ids), dtype=np.int64)
         id_rank[np.argsort(ids)] = np.arange(len(ids))
-        ours, our_missing = unit_rows(row["theirs"].take(pa.array(by_ask)))
-        theirs, their_missing = unit_rows(row["vectors"].take(pa.array(by_day)))
+        ours, our_missing = unit_rows(queries["vector"].combine_chunks())
+        theirs, their_missing = unit_rows(candidates["vector"].combine_chunks())
         comparable = ours.shape[1] == theirs.shape[1]
-        keys = row["keys"].take(pa.array(by_ask))
+        keys = queries["vector_key"].combine_chunks()
+        found = []
         for start in range(0, len(asked), SUB_ROWS):
             part = slice(start, start + SUB_ROWS)
             # Both sides are in day order: what opens after the last asked day is cut off.
@@ -150,12 +154,8 @@ def search(k: int, digits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             rows, columns, values = rows[order], columns[order], values[order]
             kept = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
             rows, columns, values = rows[kept] + start, columns[kept], values[kept]
-            found = [keys.take(pa.array(rows)), pa.array(asked[rows], pa.int32()), pa.array(ids[columns], pa.string()), pa.array(values)]
-            yield pa.RecordBatch.from_arrays(found, ["vector_key", "day", "analog_id", "similarity"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield from pair({n: batch.column(n)[i].values for n in batch.schema.names})
+            best = [keys.take(pa.array(rows)), pa.array(asked[rows], pa.int32()), pa.array(ids[columns], pa.string()), pa.array(values)]
+            found.append(pa.RecordBatch.from_arrays(best, names))
+        return pa.Table.from_batches(found, kinds)
 
-    return run
+    return cell

@@ -75,15 +75,15 @@ def windowed_totals(
 # bucket holds about 1/buckets of all rows, equal prices of a day counted once.
 
 
-def cogroup_on(left: DataFrame, right: DataFrame, keys: list[str]):
-    """Cogroup two frames that may come from one table.
+def cogroup_on(left: DataFrame, right: DataFrame, keys: list[str], groups: int = 0):
+    """Cogroup two frames that may come from one table, over `groups` partitions if that is more than usual.
 
     The right side is renamed onto itself first: with attributes shared between the sides,
     Spark 4.1 may prune a column of the right side that the function still needs.
     """
     own = right.select(*[F.col(c).alias(c) for c in right.columns])
     # A given number of partitions is not coalesced: the groups are few bytes but much work.
-    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = max(groups, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (
         left.repartition(spread, *keys).groupBy(*keys).cogroup(own.repartition(spread, *keys).groupBy(*keys))
     )

@@ -1,14 +1,17 @@
-"""The k most similar earlier products, exactly, as blocked matrix products in launch order.
+"""The k most similar earlier products, exactly, on a grid of matrix products in launch order.
 
 1. Copies collapse. Equal vectors have equal similarities, so queries are reduced to distinct
    (vector, launch day), and of candidates with one vector and one day only the k smallest
    ids can ever be among the k best.
-2. Candidates are cut into blocks and queries into tiles, both by ranges of launch days; a day with more
-   rows than a block is split by hash. Their sizes do not grow with the table, only their number.
-3. A tile meets the blocks that open no later than its last day, by number: the plan holds ids only.
-   When launches query their own history, about half of all pairs are left.
-4. A pair is one row with a tile and a block, searched as a matrix product. Its k best per query are
-   merged by a top-k window, which Spark cuts to k rows per query before its shuffle.
+2. Queries and candidates are each cut into as many ranges of launch days as the grid has rows and
+   columns; a day with more rows than a range is split by hash. The grid has about the asked number of
+   live cells, and more only where a range would pass `grid_rows`, which bounds what a task holds.
+3. A row meets the columns that open no later than its last day, by number: the plan holds ids only.
+   When launches query their own history, about half of all cells are live.
+4. A query goes to every live cell of its row, a candidate to every live cell of its column: with T cells
+   each vector is dealt about sqrt(T) times, however many pairs there are. A cell is one cogroup, searched
+   as matrix products of 128 queries at a time. Its k best per query are merged by a top-k window, which
+   Spark cuts to k rows per query before its shuffle.
 
 Exact search of vectors without structure has to compare every query with all earlier launches; what
 can be bounded, and is, is what a task holds and what is handed on.
@@ -19,14 +22,17 @@ last bits of a matrix product cannot reorder equal vectors.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from premiere.config import DemandConfig
 from premiere.functions import dates
-from premiere.operators import kernels
+from premiere.operators import kernels, running
 from premiere.session import materialise
 
+
 def _available_day(cfg: DemandConfig) -> Column:
     """First day on which a launch may serve as an analog."""
     if cfg.require_matured:
@@ -76,14 +82,6 @@ def _in_blocks(rows: DataFrame, size: int, spread: list[str]) -> DataFrame:
     return rows.join(ranges.select("day", "range", "parts"), "day").withColumn("part", part).drop("parts")
 
 
-def _packed(blocked: DataFrame, id_column: str, names: tuple[str, str, str]) -> DataFrame:
-    """One row per block with its ids, days and vectors in one order."""
-    rows = F.struct(F.col(id_column).alias("id"), "day", "vector")
-    packed = blocked.groupBy("range", "part").agg(F.collect_list(rows).alias("x"))
-    columns = [F.col(f"x.{c}").alias(n) for c, n in zip(("id", "day", "vector"), names)]
-    return packed.select("range", "part", *columns)
-
-
 def search_plan(tiles: DataFrame, blocks: DataFrame) -> DataFrame:
     """(tile, tile_part, range, part): the pairs to search. A range of blocks opens on its first day."""
     opens = blocks.groupBy("range").agg(F.min("day").alias("day"))
@@ -100,24 +98,40 @@ def search_plan(tiles: DataFrame, blocks: DataFrame) -> DataFrame:
     return pairs.join(blocks.select("range", "part").distinct(), "range")
 
 
+def grid_side(rows: int, tasks: int, grid_rows: int) -> int:
+    """Rows, and columns, of the grid: half of its cells are about `tasks`, a range has at most `grid_rows`."""
+    return max(1, math.ceil(math.sqrt(2 * tasks)), math.ceil(rows / grid_rows))
+
+
+def _ranged(rows: DataFrame, spread: list[str], label: str, cfg: DemandConfig) -> DataFrame:
+    """Written rows with their range of days (range, part), one side of the grid."""
+    tasks = cfg.search_tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    written = materialise(rows, label)
+    n = written.count()
+    size = math.ceil(n / grid_side(n, tasks, cfg.grid_rows)) or 1
+    return materialise(_in_blocks(written, size, spread), f"{label}-ranged")
+
+
+def dealt(queries: DataFrame, candidates: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with one row per live cell (tile, tile_part, range, part) of their grid row or column."""
+    asked = queries.withColumnsRenamed({"range": "tile", "part": "tile_part"})
+    return plan.join(asked, ["tile", "tile_part"]), plan.join(candidates, ["range", "part"])
+
+
 def similar_launches(queries: DataFrame, history: DataFrame, cfg: DemandConfig) -> DataFrame:
     """(vector_key, day, rank, analog_id, similarity): the k best earlier launches of each point.
 
-    Runs jobs when called: tiles, blocks and their plan are written.
+    Runs jobs when called: both sides and the plan of the grid are written.
     """
     k = cfg.top_k
     points = query_points(queries).drop("product_id").dropDuplicates(["vector_key", "day"])
-    candidates = _candidates(history, cfg).drop("vector_key")
-    blocked = materialise(_in_blocks(candidates, cfg.block_rows, ["product_id"]), "similarity-blocks")
-    tiled = materialise(_in_blocks(points, cfg.tile_rows, ["vector_key"]), "similarity-tiles")
-    pairs = materialise(search_plan(tiled, blocked), "similarity-plan")
-    tiles = _packed(tiled, "vector_key", ("keys", "asked", "theirs")).withColumnsRenamed({"range": "tile", "part": "tile_part"})
-    blocks = _packed(blocked, "product_id", ("ids", "days", "vectors"))
-    rows = pairs.join(tiles, ["tile", "tile_part"]).join(blocks, ["range", "part"])
-    rows = rows.select("keys", "asked", "theirs", "ids", "days", "vectors")
-    # A row holds a tile and a block: batches end by size.
-    queries.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
-    lists = rows.mapInArrow(kernels.search(k, cfg.similarity_digits), kernels.FOUND_ROW)
+    candidates = _candidates(history, cfg).drop("vector_key").withColumnRenamed("product_id", "id")
+    columns = _ranged(candidates, ["id"], "similarity-candidates", cfg)
+    rows = _ranged(points, ["vector_key"], "similarity-queries", cfg)
+    plan = materialise(search_plan(rows, columns), "similarity-plan")
+    asked, offered = dealt(rows, columns, plan)
+    cells = running.cogroup_on(asked, offered, ["tile", "tile_part", "range", "part"], plan.count())
+    lists = cells.applyInArrow(kernels.search(k, cfg.similarity_digits), kernels.FOUND_ROW)
     best = Window.partitionBy("vector_key", "day").orderBy(F.col("similarity").desc(), F.col("analog_id"))
     return (
         lists.withColumn("rank", F.row_number().over(best))

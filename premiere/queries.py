@@ -30,8 +30,8 @@ from premiere.streaming import scoring
 DEMAND = DemandConfig()
 TRAINING = TrainingConfig()
 FOREST = TrainingConfig()
-# Small enough that the given tables fill many blocks and tiles.
-SIMILARITY = DemandConfig(block_rows=240, tile_rows=500)
+# Small enough that the given tables fill a grid of many cells.
+SIMILARITY = DemandConfig(grid_rows=500)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -72,13 +72,13 @@ def next_day(d):
 
 
 @pytest.mark.parametrize(
-    "clustered, block_rows, same",
-    [(False, 100_000, True), (False, 140, True), (False, 40, True), (True, 20, True), (True, 20, False)],
+    "clustered, tasks, grid_rows, same",
+    [(False, 1, 100_000, True), (False, 0, 100_000, True), (False, 1, 40, True), (True, 9, 20, True), (True, 9, 20, False)],
 )
-def test_top_k_equals_brute_force(spark, clustered, block_rows, same):
+def test_top_k_equals_brute_force(spark, clustered, tasks, grid_rows, same):
     known = products(260, "h", 1, clustered)
     asked = known if same else products(90, "q", 2, clustered)
-    cfg = DemandConfig(block_rows=block_rows, tile_rows=30)
+    cfg = DemandConfig(search_tasks=tasks, grid_rows=grid_rows)
     ranked = analogs.ranked_analogs(spark.createDataFrame(asked, SCHEMA), spark.createDataFrame(known, SCHEMA), cfg)
     got = {r.product_id: [(a.analog_id, a.similarity) for a in r.analogs] for r in ranked.collect()}
     for q in asked:
@@ -98,22 +98,38 @@ def test_only_matured_analogs(spark):
     assert all(a.analog_launch + dt.timedelta(days=89) <= dates[r.product_id] for r in ranked for a in r.analogs)
 
 
-def test_blocks_keep_their_size_and_the_plan_holds_ids_only(spark):
-    sizes = {}
+@pytest.mark.parametrize("tasks", [8, 72])
+def test_vectors_are_dealt_once_per_row_or_column(spark, tasks):
+    """Dealt vectors grow with N x sqrt(tasks), a cell's sides with N / sqrt(tasks); the plan holds ids only."""
     for n in (300, 3000):
         df = spark.createDataFrame(products(n, "h", 4, True), SCHEMA)
-        cfg = DemandConfig(block_rows=40)
-        candidates = similarity._candidates(df, cfg)
-        assert candidates.count() < n * 0.95
-        blocked = similarity._in_blocks(candidates, cfg.block_rows, ["product_id"])
-        groups = blocked.groupBy("range", "part").count()
-        sizes[n] = groups.agg(F.max("count")).first()[0]
-        tiled = similarity._in_blocks(similarity.query_points(df).drop("product_id"), 50, ["vector_key"])
-        plan = similarity.search_plan(tiled, blocked)
+        cfg = DemandConfig(search_tasks=tasks)
+        side = similarity.grid_side(n, tasks, cfg.grid_rows)
+        assert side == np.ceil(np.sqrt(2 * tasks))
+        candidates = similarity._candidates(df, cfg).drop("vector_key").withColumnRenamed("product_id", "id")
+        columns = similarity._ranged(candidates, ["id"], "test-candidates", cfg)
+        rows = similarity._ranged(similarity.query_points(df).drop("product_id"), ["vector_key"], "test-queries", cfg)
+        plan = similarity.search_plan(rows, columns)
         assert plan.columns == ["range", "tile", "tile_part", "part"]
-        possible = groups.count() * tiled.select("range", "part").distinct().count()
-        assert plan.distinct().count() == plan.count() < 0.7 * possible
-    assert max(sizes.values()) <= 3 * 40
+        cells = plan.distinct().count()
+        assert cells == plan.count() <= 0.75 * (side + 1) ** 2
+        for given, out in zip((rows, columns), similarity.dealt(rows, columns, plan)):
+            assert out.count() <= given.count() * (side + 1)
+            keys = ["range", "part"]
+            assert given.groupBy(keys).count().agg(F.max("count")).first()[0] <= 2 * n / side + 30
+
+
+def test_no_exchange_carries_packed_vectors(spark):
+    df = spark.createDataFrame(products(300, "h", 4, True), SCHEMA)
+    found = similarity.similar_launches(df, df, DemandConfig(search_tasks=8))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_grid_side():
+    assert similarity.grid_side(0, 1, 10) == 2 and similarity.grid_side(10**6, 8, 16_384) == 62
 
 
 def test_a_hot_day_is_split(spark):
