@@ -8,9 +8,9 @@ counted from the blocks. Then, for phrases of 2, 3, 4, 5 words:
    are looked up in a bitmap of 2^24 bits, living positions are counted by hash in 2^22 counters that stop at
    the minimum. Both can only err towards more, so no frequent phrase is lost.
 2. Living positions whose counter reaches the minimum give the candidates, as distinct phrases.
-3. Candidates are dealt by hash into shards of about 2^17. Each becomes a double-array trie over its words:
+3. Candidates are dealt by hash into shards of about 2^16. Each becomes a double-array trie over its words:
    state s goes on with symbol c to t = base[s] + c if check[t] = s.
-4. The tries of up to four shards are broadcast at a time (their number of phrases bounds them); over every
+4. The tries of up to eight shards are broadcast at a time (their number of phrases bounds them); over every
    block numpy moves the states of all positions one word on at a time and counts the states at the end.
    More shards take more rounds over the blocks. Counts of tasks are summed by state.
 
@@ -40,13 +40,14 @@ MIN_COUNT = 100
 TOP = 2000
 UNKNOWN_LANG = "und"
 
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
+OPEN_WORDS = 1 << 20  # of all languages, in blocks not yet written
 COUNTER_BITS, FREQUENT_BITS = 22, 24
 CHUNK_BITS = 16  # counters in a row
 FAN_IN = 64  # rows of counters summed by one task
-TRIE_PHRASES = 1 << 17
-TRIES_AT_ONCE = 4
-KNOWN_PHRASES = 1 << 18  # held by a task to send a candidate once
+TRIE_PHRASES = 1 << 16
+TRIES_AT_ONCE = 8
+KNOWN_PHRASES = 1 << 17  # held by a task to send a candidate once
 
 _BREAK = b"."
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -80,8 +81,9 @@ class _Block:
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {_BREAK: 0}
         self.codes: list[np.ndarray] = []
+        self.size = 0
 
-    def add(self, text: bytes) -> int:
+    def add(self, text: bytes) -> None:
         words = text.translate(_PLAIN).replace(_BREAK, b" . ").split()
         words.append(_BREAK)
         known = self.known
@@ -89,7 +91,7 @@ class _Block:
             if w not in known:
                 known[w] = len(known)
         self.codes.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-        return len(words)
+        self.size += len(words)
 
     def row(self, lang: str) -> dict:
         words = list(self.known)[1:]
@@ -106,24 +108,25 @@ class _Block:
 def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
     open_blocks: dict[str, _Block] = {}
-    held = 0
 
-    def closed() -> Iterator[pa.RecordBatch]:
-        for lang, block in open_blocks.items():
-            row = block.row(lang)
-            if row["words"]:
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], list(row))
-        open_blocks.clear()
+    def closed(lang: str) -> Iterator[pa.RecordBatch]:
+        row = open_blocks.pop(lang).row(lang)
+        if row["words"]:
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds)], list(row))
 
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         for lang, text in zip(langs, batch.column("text").cast(pa.binary())):
             if text.is_valid:
-                held += open_blocks.setdefault(lang, _Block()).add(text.as_py())
-            if held >= BLOCK_WORDS:
-                yield from closed()
-                held = 0
-    yield from closed()
+                block = open_blocks.setdefault(lang, _Block())
+                block.add(text.as_py())
+                if block.size >= BLOCK_WORDS:
+                    yield from closed(lang)
+        if sum(b.size for b in open_blocks.values()) >= OPEN_WORDS:
+            for lang in list(open_blocks):
+                yield from closed(lang)
+    for lang in list(open_blocks):
+        yield from closed(lang)
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
@@ -268,7 +271,7 @@ def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, counted: np.ndar
     shared = spark.sparkContext.broadcast((frequent, counted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, sent = None, set()
+        bits, sent = None, {}
         for batch in batches:
             bits = [_unpacked(b) for b in shared.value] if bits is None else bits
             for i, codes, hashes in _arrays(batch):
@@ -284,10 +287,11 @@ def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, counted: np.ndar
                 used, inside = np.unique(rows, return_inverse=True)
                 lang, words = batch.column("lang")[i].as_py(), batch.column("words")[i].values.take(pa.array(used)).to_pylist()
                 phrases = [" ".join([words[w] for w in row]) for row in inside.reshape(rows.shape).tolist()]
-                fresh = [p for p in phrases if (lang, p) not in sent]
-                if len(sent) > KNOWN_PHRASES:
+                if sum(map(len, sent.values())) > KNOWN_PHRASES:
                     sent.clear()
-                sent.update((lang, p) for p in fresh)
+                known = sent.setdefault(lang, set())
+                fresh = [p for p in phrases if p not in known]
+                known.update(fresh)
                 columns = [pa.array([lang] * len(fresh), pa.string()), pa.array(fresh, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase"])
 
@@ -308,29 +312,33 @@ class _Cells:
     def __init__(self, size: int):
         self.free = np.ones(size, bool)
         self.free[0] = False  # the root
-        self.low = 1
+        self.low = 1  # where the search starts
 
     def _reach(self, size: int) -> None:
         if size > len(self.free):
             self.free = np.concatenate([self.free, np.ones(max(size - len(self.free), len(self.free) // 2), bool)])
 
     def place(self, symbols: np.ndarray) -> int:
-        """A base that puts every symbol on a free cell; the cells are taken."""
-        span, low = int(symbols[-1] - symbols[0]), self.low
-        for _ in range(8):
-            self._reach(low + _SEARCH + span + 1)
+        """A base that puts every symbol on a free cell; the cells are taken.
+
+        Cells for the first symbol are struck out by one further symbol after the other, so that little is
+        left to compare after a few. Behind the last taken cell any node fits. A half full start is left to
+        nodes with a single symbol, which come last and fill every hole.
+        """
+        steps, low = (symbols - symbols[0])[1:], self.low
+        while True:
+            self._reach(low + _SEARCH + int(steps[-1]) + 1)
             cells = low + np.flatnonzero(self.free[low : low + _SEARCH])
-            if low == self.low and len(cells) < _SEARCH // 20:
+            if low == self.low and len(cells) < _SEARCH // 2:
                 self.low += _SEARCH
-            step = max(1, (1 << 18) // len(symbols))
-            for i in range(0, min(len(cells), 4 * step), step):
-                fits = self.free[cells[i : i + step, None] + (symbols - symbols[0])].all(axis=1)
-                if fits.any():
-                    return self._take(int(cells[i + fits.argmax()] - symbols[0]), symbols)
+            for step in steps:
+                cells = cells[self.free[cells + step]]
+                if not len(cells):
+                    break
+            else:
+                if len(cells):
+                    return self._take(int(cells[0] - symbols[0]), symbols)
             low += _SEARCH
-        end = int(np.flatnonzero(~self.free)[-1]) + 1
-        self._reach(end + span + 1)
-        return self._take(end - int(symbols[0]), symbols)
 
     def _take(self, base: int, symbols: np.ndarray) -> int:
         self.free[base + symbols] = False
