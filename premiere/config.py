@@ -57,8 +57,6 @@ class DemandConfig:
     # Live cells of the search grid (0: the shuffle partitions), and vectors of a side a cell may hold.
     search_tasks: int = 0
     grid_rows: int = 16_384
-    bucket_rows: int = 2000
-    max_price_buckets: int = 512
 
 
 @dataclass(frozen=True)
@@ -69,8 +67,8 @@ class TrainingConfig:
     loss: str = "huber"  # huber | mse | poisson | trees
     max_iter: int = 100
     tolerance: float = 1e-6
-    # Where squared loss turns linear, in deviations. Spark asks for more than 1 and estimates the scale.
-    huber_epsilon: float = 1.35
+    patience: int = 12  # steps without a better validation loss
+    huber_delta: float = 1.0  # where squared loss turns linear
     selection_metric: str = "test_three_month_wape"
     lower_metric_is_better: bool = True
     # Risk model

@@ -53,6 +53,40 @@ def hashed_title_vectors(
     )
 
 
+def word_buckets(text: Column, dimensions: int) -> Column:
+    """The bucket of every word (letters and digits, lower case) of a title, by hash."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z0-9]+)"), F.lit(1))
+    digits = F.transform(words, lambda w: F.substring(F.md5(w.cast("binary")), 1, 8))
+    return F.transform(digits, lambda d: (F.conv(d, 16, 10).cast("bigint") % dimensions).cast("int"))
+
+
+def document_frequencies(df: DataFrame, text: str = "product_name", dimensions: int = 64) -> DataFrame:
+    """(bucket, titles, weight) of all buckets: weight = ln((1 + all titles) / (1 + titles with the bucket)).
+
+    Counted once, on the history, and saved; training and announcements are weighted by the same table.
+    """
+    held = df.select(F.array_distinct(word_buckets(F.col(text), dimensions)).alias("held"))
+    counts = held.select(F.explode("held").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("titles"))
+    every = df.sparkSession.range(dimensions).select(F.col("id").cast("int").alias("bucket"))
+    titles = F.coalesce("titles", F.lit(0))
+    weight = F.log((F.lit(1.0) + F.col("all_titles")) / (F.lit(1.0) + titles))
+    known = every.join(counts, "bucket", "left").join(held.agg(F.count(F.lit(1)).alias("all_titles")))
+    return known.select("bucket", titles.alias("titles"), weight.alias("weight"))
+
+
+def weighted_title_vectors(
+    df: DataFrame, frequencies: DataFrame, text: str = "product_name", out: str = "product_embedding"
+) -> DataFrame:
+    """Unit-length bag of word buckets, weighted by inverse document frequency. The weights, one per bucket, reach the driver."""
+    weights = [r["weight"] for r in frequencies.orderBy("bucket").collect()]
+    weighted = F.transform(
+        F.array(*[F.lit(float(w)) for w in weights]),
+        lambda w, i: w * F.size(F.filter("__buckets", lambda b: b == i)),
+    )
+    with_buckets = df.withColumn("__buckets", word_buckets(F.col(text), len(weights)))
+    return with_buckets.withColumn("__weighted", weighted).withColumn(out, unit(F.col("__weighted")).cast("array<float>")).drop("__buckets", "__weighted")
+
+
 def encoded_title_vectors(
     df: DataFrame,
     make_encoder: Callable[[], Callable[[list[str]], list]],

@@ -1,88 +1,12 @@
-"""What runs inside Python tasks: numpy, pandas and Arrow only, so workers import nothing else."""
+"""What runs inside Python tasks: numpy and Arrow only, so workers import nothing else."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
-# Order statistics ---------------------------------------------------------------------
-
-
-def replay(rows: pd.DataFrame, slots: np.ndarray, width: int, ask_days: np.ndarray):
-    """Cumulative counts by slot as they stood before each asked day.
-
-    `ask_days` is sorted; yields the slice of asks of each distinct day with its counts.
-    """
-    order = np.argsort(rows["day"].to_numpy(), kind="stable")
-    days, slots, counts = rows["day"].to_numpy()[order], slots[order], rows["n"].to_numpy()[order]
-    asked, starts = np.unique(ask_days, return_index=True)
-    ends = np.append(starts[1:], len(ask_days))
-    seen, held = 0, np.zeros(width, dtype=np.int64)
-    for upto, start, end in zip(np.searchsorted(days, asked, side="left"), starts, ends):
-        np.add.at(held, slots[seen:upto], counts[seen:upto])
-        seen = upto
-        yield slice(start, end), np.cumsum(held)
-
-
-def lower_counts(held: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """Counts in the slots before the given ones."""
-    return np.where(slot > 0, held[np.maximum(slot - 1, 0)], 0)
-
-
-def no_rows(row: str) -> pd.DataFrame:
-    return pd.DataFrame(columns=[field.split()[0] for field in row.split(", ")])
-
-
-FIRST_LEVEL_ROW = "want string, kind string, key string, day int, bucket int, rank long, below long"
-
-
-def first_level(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-    """Median asks learn their bucket and rank in it, place asks the rows in lower buckets."""
-    if not len(rows) or not len(asks):
-        return no_rows(FIRST_LEVEL_ROW)
-    asks = asks.sort_values("day", kind="stable")
-    median = (asks["want"] == "median").to_numpy()
-    bucket = asks["bucket"].to_numpy().copy()
-    rank, below = np.zeros(len(asks), dtype=np.int64), np.zeros(len(asks), dtype=np.int64)
-    answered = np.zeros(len(asks), dtype=bool)
-    buckets, slots = np.unique(rows["bucket"].to_numpy(), return_inverse=True)
-    for part, held in replay(rows, slots, len(buckets), asks["day"].to_numpy()):
-        if held[-1] == 0:
-            continue
-        answered[part] = True
-        middle = (held[-1] + 1) // 2
-        slot = np.where(median[part], np.searchsorted(held, middle), np.searchsorted(buckets, bucket[part]))
-        lower = lower_counts(held, slot)
-        bucket[part] = np.where(median[part], buckets[np.minimum(slot, len(buckets) - 1)], bucket[part])
-        rank[part] = np.where(median[part], middle - lower, 0)
-        below[part] = np.where(median[part], 0, lower)
-    return asks.assign(bucket=bucket, rank=rank, below=below)[answered]
-
-
-SECOND_LEVEL_ROW = "want string, kind string, key string, day int, price double, median double, not_above long"
-
-
-def second_level(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-    """The price at a rank of the bucket, or the bucket's rows priced no higher."""
-    if not len(asks):
-        return no_rows(SECOND_LEVEL_ROW)
-    asks = asks.sort_values("day", kind="stable")
-    median = (asks["want"] == "median").to_numpy()
-    rank, price = asks["rank"].to_numpy(), asks["price"].to_numpy()
-    found, count = np.full(len(asks), np.nan), asks["below"].to_numpy().copy()
-    if len(rows):
-        prices, slots = np.unique(rows["price"].to_numpy(), return_inverse=True)
-        for part, held in replay(rows, slots, len(prices), asks["day"].to_numpy()):
-            m = median[part]
-            found[part][m] = prices[np.searchsorted(held, rank[part][m])]
-            count[part][~m] += lower_counts(held, np.searchsorted(prices, price[part][~m], side="right"))
-    columns = ["want", "kind", "key", "day", "price", "median", "not_above"]
-    return asks.assign(median=found, not_above=count)[columns]
-
-
 # Similarity ---------------------------------------------------------------------------
 
 # Sort positions below every real similarity: no vector on one side, and no result yet.

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from premiere.operators import ranks
+
 HORIZONS = ("m1", "m2", "m3")
 TOTAL_HORIZON = "three_month"
-_SCORE_BUCKETS = 1024
 
 
 def forecast_metrics(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -105,33 +103,19 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Exact area under the ROC curve by rank sums; tied scores count half.
 
-    Rows shrink to one per distinct score. Score buckets with even numbers of rows let the
-    negatives below a score be counted as lower buckets + lower scores of the bucket, so the
-    scores are never ordered in one task.
+    Rows shrink to one per distinct score. Scores are ordered in ranges, so the negatives below a score are
+    those of lower ranges and those below it in its own. Runs jobs when called.
     """
     by_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
-    cuts = df.select(F.col(score).cast("double").alias("s")).approxQuantile(
-        "s", [i / _SCORE_BUCKETS for i in range(1, _SCORE_BUCKETS)], 0.25 / _SCORE_BUCKETS
-    )
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    if len(splits) > 2:
-        placed = Bucketizer(splits=splits, inputCol="s", outputCol="bucket", handleInvalid="keep").transform(by_score)
-    else:
-        placed = by_score.withColumn("bucket", F.lit(0.0))
-    # At most 1024 rows.
-    lower = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        placed.groupBy("bucket")
-        .agg(F.sum("neg").alias("n"))
-        .select("bucket", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("lower"))
-    )
-    inside = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = placed.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-    won = F.col("pos").cast("double") * (F.col("lower") + F.col("below") + F.col("neg") / 2)
+    order = F.col("s").asc_nulls_last()
+    ranged = ranks.in_ranges(by_score, [order])
+    inside = Window.partitionBy("__range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ranged.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    won = F.col("pos").cast("double") * (F.col("__below") + F.col("below") + F.col("neg") / 2)
     return (
-        ranked.join(buckets, "bucket")
+        ranked.join(ranks.totals_below(ranged, F.col("neg")), "__range")
         .agg(F.sum(won).alias("w"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
         .select(F.try_divide(F.col("w"), F.col("p").cast("double") * F.col("n")).alias("roc_auc"))
     )

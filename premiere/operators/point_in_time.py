@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from premiere.config import DemandConfig
@@ -38,7 +38,7 @@ def _attach(base: DataFrame, found: DataFrame, kind: str, key: str, *columns: Co
     return base.join(side, [key, "day"], "left")
 
 
-def earlier_launch_stats(queries: DataFrame, history: DataFrame, cfg: DemandConfig) -> DataFrame:
+def earlier_launch_stats(queries: DataFrame, history: DataFrame) -> DataFrame:
     """Counts, mean demand, median prices and price percentile of strictly earlier launches."""
     points = queries.select("product_id", "brand", "functional_category", "launch_price", "launch_date")
     points = points.withColumn("day", dates.day_number(F.col("launch_date")))
@@ -57,17 +57,8 @@ def earlier_launch_stats(queries: DataFrame, history: DataFrame, cfg: DemandConf
         ["n", "qty_90d", "known"],
     )
     track = track.withColumn("avg_qty", F.try_divide("qty_90d", "known"))
-    # Read by both sides of the join below, and the Python stages should run once.
-    answers = materialise(
-        running.price_standing(
-            rows.select(*_AT, "price"),
-            spots,
-            asked.filter(F.col("kind") == "category"),
-            cfg.bucket_rows,
-            cfg.max_price_buckets,
-        ),
-        "price-standing",
-    )
+    answers = running.price_standing(rows.select(*_AT, "price"), spots, asked.filter(F.col("kind") == "category"))
+    answers = materialise(answers, "price-standing")  # read by both sides of the join below
     medians, standing = running.split_answers(answers)
     ever = running.totals_before(
         launched.select(F.lit("all").alias("kind"), "day", F.lit(1).alias("n")),
@@ -192,11 +183,38 @@ def eligible_customers(queries: DataFrame, fact: DataFrame) -> DataFrame:
     return found.select("product_id", total.cast("bigint").alias("eligible_customer_count"))
 
 
+def eligible_customers_sketched(queries: DataFrame, fact: DataFrame, lg_k: int = 12) -> DataFrame:
+    """eligible_customers as an estimate: mergeable sketches per key and day, united over the earlier days.
+
+    No customer is joined or kept, a key holds a sketch of at most 2^lg_k registers a day. The standard error
+    is about 0.8 / sqrt(2^lg_k), 1.3 % by default; small counts are exact.
+    """
+    points = _launches(queries.select("product_id", "brand", "functional_category", "launch_date"))
+    bought = fact.filter(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
+    daily = (
+        _by_kind(bought.withColumn("day", dates.day_number(F.col("order_date"))), "day", "customer_id")
+        .groupBy(*_AT)
+        .agg(F.hll_sketch_agg(F.col("customer_id").cast("string"), lg_k).alias("sketch"))
+    )
+    spots = _by_kind(points, "day").distinct().withColumn("asked", F.lit(True))
+    both = daily.join(spots, _AT, "full")
+    earlier = Window.partitionBy("kind", "key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    held = both.withColumn("until", F.hll_union_agg("sketch").over(earlier)).filter("asked").select(*_AT, "until")
+    found = points
+    for kind, key in (("brand", "brand"), ("category", "functional_category")):
+        found = _attach(found, held, kind, key, F.col("until").alias(f"{kind}_sketch"))
+    brand, category = F.col("brand_sketch"), F.col("category_sketch")
+    reach = F.when(brand.isNull(), F.hll_sketch_estimate(category)).when(category.isNull(), F.hll_sketch_estimate(brand))
+    reach = reach.otherwise(F.hll_sketch_estimate(F.hll_union(brand, category)))
+    asked = queries.select("product_id").join(found.select("product_id", reach.alias("n")), "product_id", "left")
+    return asked.select("product_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("eligible_customer_count"))
+
+
 def point_in_time_features(
     queries: DataFrame, history: DataFrame, fact: DataFrame, cfg: DemandConfig
 ) -> DataFrame:
     return (
-        earlier_launch_stats(queries, history, cfg)
+        earlier_launch_stats(queries, history)
         .join(category_demand(queries, fact, cfg), "product_id", "left")
         .join(eligible_customers(queries, fact), "product_id", "left")
     )

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from premiere.session import materialise
+
+# Rows of a range that one task orders.
+RANGE_ROWS = 1 << 20
+
 # Leading hex digits of a digest that form a bucket: 65,536 buckets.
 _PREFIX = 4
 
@@ -37,6 +42,33 @@ def digest_position(df: DataFrame, digest: str, keys: list[str], out: str) -> Da
     )
 
 
+def in_ranges(df: DataFrame, order: list[Column | str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Rows with the number of their range, `__range`: ranges follow each other in the given order.
+
+    Borders come from a sample, so ranges are even whatever the values look like; only rows that are equal in
+    all order columns cannot be parted. Runs jobs when called; the rows are written.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialise(df, "unranged")
+    ranged = rows.repartitionByRange(max(least, rows.count() // range_rows), *order)
+    return materialise(ranged.withColumn("__range", F.spark_partition_id()), "ranged")
+
+
+def totals_below(ranged: DataFrame, amount: Column) -> DataFrame:
+    """(__range, __below): the amount in all lower ranges. One row per range."""
+    lower = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("__range").agg(F.sum(amount).alias("__amount"))
+    return totals.select("__range", F.coalesce(F.sum("__amount").over(lower), F.lit(0)).alias("__below"))
+
+
+def ordered_position(df: DataFrame, order: list[str], out: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """1-based position in the order of columns: rows in lower ranges + row number in the range."""
+    ranged = in_ranges(df, list(order), range_rows)
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    placed = ranged.withColumn("__row", inside).join(totals_below(ranged, F.lit(1)), "__range")
+    return placed.withColumn(out, (F.col("__below") + F.col("__row")).cast("bigint")).drop("__range", "__row", "__below")
+
+
 def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
     """A full shuffle of the rows, as a `position` column, repeatable by seed."""
     digested = df.withColumn("__digest", seeded_digest(seed, key))

@@ -7,13 +7,11 @@ a key holds at most as many rows as the calendar has days, however hot it is.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from premiere.operators import kernels
+from premiere.operators import ranks
+from premiere.session import materialise
 
 
 def totals_before(
@@ -67,14 +65,6 @@ def windowed_totals(
     )
 
 
-# Order statistics -----------------------------------------------------------------------
-#
-# Two levels. Level 1 counts a key's rows per day and global price bucket and answers from
-# those counts: which bucket holds the median, or how many rows lie in lower buckets. Level 2
-# finishes inside one (key, bucket). Level 1 sees at most days x buckets rows of a key; a
-# bucket holds about 1/buckets of all rows, equal prices of a day counted once.
-
-
 def cogroup_on(left: DataFrame, right: DataFrame, keys: list[str], groups: int = 0):
     """Cogroup two frames that may come from one table, over `groups` partitions if that is more than usual.
 
@@ -89,52 +79,81 @@ def cogroup_on(left: DataFrame, right: DataFrame, keys: list[str], groups: int =
     )
 
 
-def price_edges(rows: DataFrame, bucket_rows: int, max_buckets: int) -> list[float]:
-    """Inner bucket edges at even ranks of all prices: at most max_buckets - 1 numbers."""
-    probs = F.array(*[F.lit(i / max_buckets) for i in range(1, max_buckets)])
-    n, ranks = rows.agg(F.count("price"), F.percentile_approx("price", probs, 20 * max_buckets)).first()
-    wanted = min(max_buckets, max(1, n // bucket_rows))
-    return sorted({ranks[round(i * max_buckets / wanted) - 1] for i in range(1, wanted)})
+# Order statistics -----------------------------------------------------------------------
+#
+# Every price gets its rank among all prices, written in digits of base FAN. The digits are the path down a
+# tree of price ranges: a node holds at most FAN ranges, a leaf one price. Going down one level takes the
+# earlier rows of every range of a node, which are FAN running counts over the days of that node. A median
+# follows the range that holds its place; a price's standing adds the ranges below its own. A window runs over
+# the days of one node, however many rows or prices a key has.
+
+FAN = 32
 
 
-def _with_bucket(df: DataFrame, edges: list[float]) -> DataFrame:
-    if not edges:
-        return df.withColumn("bucket", F.lit(0))
-    splits = [-math.inf, *edges, math.inf]
-    cut = Bucketizer(splits=splits, inputCol="price", outputCol="__bucket", handleInvalid="keep")
-    return cut.transform(df).withColumn("bucket", F.col("__bucket").cast("int")).drop("__bucket")
+def _counts(at: Column) -> list[Column]:
+    return [F.sum(F.when(at == i, F.col("n"))).alias(f"c{i}") for i in range(FAN)]
 
 
-def price_standing(
-    rows: DataFrame, median_points: DataFrame, price_points: DataFrame, bucket_rows: int, max_buckets: int
-) -> DataFrame:
+def _digit(rank: str, step: int) -> Column:
+    return F.floor(F.col(rank) / step) % FAN
+
+
+def price_standing(rows: DataFrame, median_points: DataFrame, price_points: DataFrame) -> DataFrame:
     """Exact running order statistics.
 
     rows(kind, key, day, price); median_points(kind, key, day); price_points(kind, key, day, price).
     Answers carry want = "median" with the lower median of the earlier rows, or want = "place"
     with not_above, the count of earlier rows priced no higher. Points with no earlier rows of
-    their key are absent.
+    their key are absent. Runs jobs when called: every level of the tree is written.
     """
-    at = ["kind", "key", "day"]
-    rows = rows.filter(F.col("price").isNotNull())
-    edges = price_edges(rows, bucket_rows, max_buckets)
-    fine = (
-        _with_bucket(rows, edges)
-        .groupBy("kind", "key", "bucket", "day", "price")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    coarse = fine.groupBy("kind", "key", "bucket", "day").agg(F.sum("n").alias("n"))
-    priced = _with_bucket(price_points.filter(F.col("price").isNotNull()).select(*at, "price").distinct(), edges)
-    # Level 1 needs a price's bucket only, so equal buckets of a day are asked once.
-    first_asks = (
-        median_points.select(*at)
+    at, node = ["kind", "key", "day"], ["kind", "key", "node"]
+    daily = rows.filter(F.col("price").isNotNull()).groupBy(*at, "price").agg(F.count(F.lit(1)).alias("n"))
+    priced = price_points.filter(F.col("price").isNotNull()).select(*at, "price").distinct()
+    prices = daily.select("price").unionByName(priced.select("price")).distinct()
+    ranked = ranks.ordered_position(prices, ["price"], "rank").withColumn("rank", F.col("rank") - 1)
+    ranked = materialise(ranked, "price-ranks")
+    daily = materialise(daily.join(ranked, "price").drop("price"), "price-days")
+    asks = (
+        median_points.select(*at, F.lit("median").alias("want"), F.lit(None).cast("double").alias("price"))
         .distinct()
-        .select(F.lit("median").alias("want"), *at, F.lit(-1).alias("bucket"))
-        .unionByName(priced.select(F.lit("place").alias("want"), *at, "bucket").distinct())
+        .unionByName(priced.select(*at, F.lit("place").alias("want"), "price"))
+        .join(ranked, "price", "left")
     )
-    first = cogroup_on(coarse, first_asks, ["kind", "key"]).applyInPandas(kernels.first_level, kernels.FIRST_LEVEL_ROW)
-    second_asks = first.join(priced.withColumn("want", F.lit("place")), ["want", *at, "bucket"], "left")
-    return cogroup_on(fine, second_asks, ["kind", "key", "bucket"]).applyInPandas(kernels.second_level, kernels.SECOND_LEVEL_ROW)
+    asks = asks.withColumns({"node": F.lit(0).cast("bigint"), "left": F.lit(None).cast("bigint"), "below": F.lit(0).cast("bigint")})
+    levels = 1
+    while FAN**levels < (ranked.agg(F.max("rank")).first()[0] or 0) + 1:
+        levels += 1
+    for level in range(levels):
+        step = FAN ** (levels - 1 - level)
+        events = daily.withColumn("node", F.floor(F.col("rank") / (step * FAN)))
+        events = events.groupBy(*node, "day").agg(*_counts(_digit("rank", step)))
+        names = [f"c{i}" for i in range(FAN)]
+        asks = materialise(asks, "price-asks")
+        earlier = totals_before(events, asks.select(*node, "day").distinct(), node, names)
+        held = F.transform(F.array(*names), lambda c: F.coalesce(c, F.lit(0)).cast("bigint"))
+        met = asks.join(earlier.select(*node, "day", held.alias("held")), [*node, "day"])
+        if not level:
+            total = F.aggregate("held", F.lit(0).cast("bigint"), lambda a, c: a + c)
+            met = met.withColumn("total", total).filter(F.col("total") > 0)
+            met = met.withColumn("left", F.floor((F.col("total") + 1) / 2)).drop("total")
+        # Rows up to the end of every range; the median's is the first that reaches its place.
+        upto = F.transform(F.sequence(F.lit(1), F.lit(FAN)), lambda i: F.aggregate(F.slice("held", 1, i), F.lit(0).cast("bigint"), lambda a, c: a + c))
+        met = met.withColumn("upto", upto)
+        own = F.size(F.filter("upto", lambda c: c < F.col("left"))).cast("bigint")
+        met = met.withColumn("digit", F.when(F.col("want") == "median", own).otherwise(_digit("rank", step)))
+        lower = F.when(F.col("digit") > 0, F.get("upto", F.col("digit").cast("int") - 1)).otherwise(F.lit(0))
+        met = met.withColumn("lower", lower)
+        if level == levels - 1:
+            met = met.withColumn("below", F.col("below") + F.get("upto", F.col("digit").cast("int")))
+        else:
+            met = met.withColumn("below", F.col("below") + F.col("lower"))
+        met = met.withColumns({"node": F.col("node") * FAN + F.col("digit"), "left": F.col("left") - F.col("lower")})
+        asks = met.drop("held", "upto", "digit", "lower")
+    asks = materialise(asks, "price-asks")
+    # The node is a rank now: the median's price, or the asked one.
+    found = asks.join(ranked.select(F.col("rank").alias("node"), F.col("price").alias("found")), "node")
+    median = F.when(F.col("want") == "median", F.col("found"))
+    return found.select(*at, "want", "price", median.alias("median"), F.col("below").alias("not_above"))
 
 
 def split_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -612,6 +612,15 @@ def oracle_sql() -> dict[str, str]:
             ),
             "forecast",
         ),
+        "evaluation_log": _with(
+            f"""SELECT half AS run_id, 'test_three_month_wape' AS selection_metric,
+                {_r("max(wape) FILTER (horizon = 'three_month') OVER (PARTITION BY half)", "selection_metric_value")}, horizon,
+                {_r("mae", "mae")}, {_r("rmse", "rmse")}, {_r("wape", "wape")}
+            FROM (SELECT CASE WHEN run_id < '1996' THEN 'early' ELSE 'late' END AS half, horizon,
+                    avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, sum(abs(e)) / greatest(sum(abs(y)), 1e-9::DOUBLE) AS wape
+                  FROM forecast GROUP BY ALL)""",
+            "forecast",
+        ),
         "champion_history": _with(_champions(True) + " UNION ALL " + _champions(False), "runs"),
         "latest_evaluation": _with(
             f"""SELECT run_id, evaluated_at, selection_metric, {_r("selection_metric_value", "selection_metric_value")}
@@ -661,12 +670,40 @@ def oracle_sql() -> dict[str, str]:
             "history",
             "day_split",
         ),
-        "training_history": "SELECT unnest(['m1', 'm2', 'm3']) AS horizon, true AS loss_fell, true AS is_validated",
+        "training_history": """SELECT unnest(['m1', 'm2', 'm3']) AS horizon, true AS all_epochs, true AS all_losses,
+            true AS best_is_kept, true AS patient, true AS loss_fell""",
+        "demand_model_quality": _with(
+            f"""SELECT forecast, {_r("sum(abs(y - guess)) / greatest(sum(abs(y)), 1e-9::DOUBLE)", "wape")}, true AS model_no_worse
+            FROM (SELECT m1_qty + m2_qty + m3_qty AS y FROM history JOIN day_split USING (launch_date)
+                  WHERE dataset_split = 'test' AND m3_qty IS NOT NULL) t,
+                 (SELECT 'nothing' AS forecast, 0::DOUBLE AS guess UNION ALL
+                  SELECT 'train median', median(m1_qty) + median(m2_qty) + median(m3_qty)
+                  FROM history JOIN day_split USING (launch_date) WHERE dataset_split = 'train' AND m3_qty IS NOT NULL) g
+            GROUP BY forecast""",
+            "history",
+            "day_split",
+        ),
+        "published_run": _with(
+            """SELECT 'second' AS run_id, dataset_split, count(*) AS products, count(*) AS said
+            FROM history JOIN day_split USING (launch_date) WHERE m3_qty IS NOT NULL GROUP BY dataset_split""",
+            "history",
+            "day_split",
+        ),
+        "title_idf_weights": _with(
+            f"""SELECT CAST(b AS INTEGER) AS bucket, count(h.bucket) AS titles,
+                {_r("ln((1.0::DOUBLE + n) / (1.0::DOUBLE + count(h.bucket)))", "weight")}, true AS unit_length
+            FROM range(64) r(b) CROSS JOIN (SELECT count(*) AS n FROM products) LEFT JOIN (
+                SELECT DISTINCT product_id, CAST('0x' || md5(unnest(regexp_extract_all(lower(title), '[a-z0-9]+')))[1:8] AS BIGINT) % 64 AS bucket
+                FROM products) h ON h.bucket = b
+            GROUP BY b, n""",
+            "products",
+        ),
+        "eligible_customers_sketched": _with("SELECT *, true AS is_close FROM customers", "customers"),
         "appended_predictions": _with(
             "SELECT product_id, true AS is_forecast, true AS adds_up FROM announced", "announced"
         ),
         "stream_product_scores": _with(
-            "SELECT product_id, true AS is_forecast, true AS adds_up FROM announced", "announced"
+            "SELECT product_id, true AS is_forecast, true AS adds_up, true AS as_batch FROM announced", "announced"
         ),
         "latest_run": _with(
             "SELECT run_id, evaluated_at AS started_at FROM runs ORDER BY evaluated_at DESC, run_id DESC LIMIT 1", "runs"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from premiere.operators import (
     similarity,
     transactions,
 )
-from premiere.plans import features, training
+from premiere.plans import features, runs, training
 from premiere.schemas import NEW_PRODUCTS, TRANSACTIONS
 from premiere.session import materialise, scratch_path
 from premiere.sources import adapters, orders, tables
@@ -219,6 +220,16 @@ def title_vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def title_idf_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles with each word bucket and its weight, over all parts; every part's weighted vector has length one or none."""
+    titles = adapters.products(spark, folder).select("product_id", F.col("title").alias("product_name"))
+    weights = materialise(vectors.document_frequencies(titles), "document-frequencies")
+    embedded = vectors.weighted_title_vectors(titles, weights)
+    length = vectors.norm(F.col("product_embedding"))
+    off = embedded.agg(F.count_if((F.abs(length - 1) > 1e-4) & (length > 0)).alias("off"))
+    return rounded(weights.join(off).select("bucket", "titles", "weight", (F.col("off") == 0).alias("unit_length")))
+
+
 def target_transform(spark: SparkSession, folder: str) -> DataFrame:
     y = F.col("qty_90d")
     return rounded(
@@ -265,7 +276,7 @@ def analog_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def earlier_launch_stats(spark: SparkSession, folder: str) -> DataFrame:
     rows = launched(spark, folder)
-    return rounded(point_in_time.earlier_launch_stats(rows, rows, DEMAND))
+    return rounded(point_in_time.earlier_launch_stats(rows, rows))
 
 
 def category_demand(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,6 +287,16 @@ def eligible_customers(spark: SparkSession, folder: str) -> DataFrame:
     return point_in_time.eligible_customers(launched(spark, folder), fact(spark, folder))
 
 
+def eligible_customers_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact reach, and whether the sketched one is within a twentieth or two customers of it."""
+    rows, lines = launched(spark, folder), fact(spark, folder)
+    exact = point_in_time.eligible_customers(rows, lines)
+    estimate = point_in_time.eligible_customers_sketched(rows, lines).withColumnRenamed("eligible_customer_count", "estimate")
+    gap = F.abs(F.col("estimate") - F.col("eligible_customer_count"))
+    close = gap <= F.greatest(F.col("eligible_customer_count") * 0.05, F.lit(2.0))
+    return exact.join(estimate, "product_id").select("product_id", "eligible_customer_count", close.alias("is_close"))
+
+
 def point_in_time_features(spark: SparkSession, folder: str) -> DataFrame:
     rows = launched(spark, folder)
     return rounded(point_in_time.point_in_time_features(rows, rows, fact(spark, folder), DEMAND))
@@ -490,13 +511,14 @@ def _score_facts(scored: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def _forecast_facts(scored: DataFrame) -> DataFrame:
+def _forecast_facts(scored: DataFrame, *more: Column) -> DataFrame:
     months = [F.col(f"prediction_{h}") for h in metrics.HORIZONS]
     total = F.abs(sum(months, F.lit(0.0)) - F.col("prediction_3m_total"))
     return scored.select(
         "product_id",
         (F.least(*months) >= 0).alias("is_forecast"),
         (total <= 1e-6 * F.greatest(F.col("prediction_3m_total"), F.lit(1.0))).alias("adds_up"),
+        *more,
     )
 
 
@@ -547,15 +569,75 @@ def demand_forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def training_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Per horizon: whether the fitted model's loss fell from its first to its last step, and was validated."""
+    """Per horizon: whether every epoch has its losses, the kept one is the best, and the train loss fell."""
     model, _ = _demand_model(spark, folder)
     steps = training.training_history(spark, model)
     first, last = (f("train_loss", "epoch") for f in (F.min_by, F.max_by))
+    kept = F.min(F.when(F.col("kept"), F.col("validation_loss")))
     return steps.groupBy("horizon").agg(
-        (last <= first).alias("loss_fell"), (F.count("validation_loss") > 0).alias("is_validated")
+        (F.count(F.lit(1)) == F.max("epoch")).alias("all_epochs"),
+        (F.count_if(F.col("train_loss").isNull() | F.col("validation_loss").isNull()) == 0).alias("all_losses"),
+        (kept <= F.min("validation_loss") + TRAINING.tolerance).alias("best_is_kept"),
+        (F.max("epoch") - F.max(F.when(F.col("kept"), F.col("epoch"))) <= TRAINING.patience).alias("patient"),
+        (last <= first + 1e-9).alias("loss_fell"),
     )
 
 
+def demand_model_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Three-month error of forecasts without a model on the test rows, and whether the model's is no worse.
+
+    The forecasts: nothing at all, and the train median of every month. Against the median the model may be a
+    tenth worse: the given demand is drawn without regard to the features.
+    """
+    model, split = _demand_model(spark, folder)
+    months = [F.col(t) for t in TARGETS]
+    actual = sum(months, F.lit(0.0))
+    # Three numbers come to the driver.
+    medians = split.filter(F.col("dataset_split") == "train").agg(*[F.median(m) for m in months]).first()
+    test = model.predict(split.filter(F.col("dataset_split") == "test"))
+
+    def wape(guess: Column) -> Column:
+        return F.sum(F.abs(actual - guess)) / F.greatest(F.sum(F.abs(actual)), F.lit(1e-9))
+
+    own = wape(F.col("prediction_3m_total"))
+    rows = [("nothing", wape(F.lit(0.0)), 1.0), ("train median", wape(F.lit(float(sum(medians)))), 1.1)]
+    entries = [F.struct(F.lit(n).alias("forecast"), w.alias("wape"), (own <= w * slack).alias("model_no_worse")) for n, w, slack in rows]
+    return rounded(test.agg(F.array(*entries).alias("x")).select(F.inline("x")))
+
+
+def evaluation_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs' whole evaluation rows appended to a log and read back, metric by metric."""
+    path = scratch_path(spark, "evaluations")
+    forecasts = _forecasts(spark, folder)
+    early = F.col("launch_date") < F.lit("1996-01-01").cast("date")
+    for run_id, rows in (("early", forecasts.filter(early)), ("late", forecasts.filter(~early))):
+        tables.append_table(training.evaluation_row(metrics.forecast_metrics(rows), run_id, TRAINING), path)
+    log = tables.read_evolving(spark, path).filter(F.col("evaluated_at").isNotNull())
+    long = log.select("run_id", "selection_metric", "selection_metric_value", F.explode("metrics").alias("horizon", "m"))
+    measures = [F.col("m")[n].alias(n) for n in ("mae", "rmse", "wape")]
+    return rounded(long.select("run_id", "selection_metric", "selection_metric_value", "horizon", *measures))
+
+
+def published_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The split tables of the latest of two published runs, counted as the run's row says."""
+    root = scratch_path(spark, "published-runs")
+    model, split = _demand_model(spark, folder)
+    days = [datetime(2020, 1, d) for d in (1, 2)]
+    runs.publish(model, split.limit(3), root, "first", days[0], TRAINING.loss)
+    runs.publish(model, split, root, "second", days[1], TRAINING.loss)
+    last = runs.latest_run(spark, root).first()["run_id"]
+    row = runs.published_runs(spark, root).filter(F.col("run_id") == last)
+    said = row.select(F.inline(F.array(*[F.struct(F.lit(s).alias("dataset_split"), F.col(f"{s}_rows").alias("said")) for s in runs.SPLITS])))
+    found = runs.read_splits(spark, root, last).groupBy("dataset_split").agg(F.count(F.lit(1)).alias("products"))
+    return found.join(said, "dataset_split").select(F.lit(last).alias("run_id"), "dataset_split", "products", "said")
+
+
+def _predict_announced(spark: SparkSession, folder: str, announced: DataFrame) -> DataFrame:
+    model, _ = _demand_model(spark, folder)
+    known = adapters.product_vectors(spark, folder)
+    return training.predict_announced(announced, model, launched(spark, folder), fact(spark, folder), DEMAND, vectors=known)
+
+
 def appended_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """All announced parts, predicted by the fitted model and appended to a log twice over."""
     model, _ = _demand_model(spark, folder)
@@ -584,28 +666,24 @@ def stream_transaction_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_product_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """All announced parts as a stream, scored against the launch history."""
+    """All announced parts as a stream, scored against the launch history, next to the batch's scores row by row."""
     announced = adapters.new_products(spark, folder)
     feed = scratch_path(spark, "product-feed")
     tables.overwrite_table(announced, feed)
-    model, _ = _demand_model(spark, folder)
-    known = adapters.product_vectors(spark, folder)
-    lines, launches = fact(spark, folder), launched(spark, folder)
-
-    def score(batch: DataFrame) -> DataFrame:
-        wide = features.new_product_features(batch, launches, lines, DEMAND, vectors=known)
-        names = [f"prediction_{h}" for h in (*metrics.HORIZONS, "3m_total")]
-        return model.predict(wide).select("product_id", *names)
-
     out = scratch_path(spark, "product-scores")
     scoring.score_product_stream(
         scoring.parquet_stream(spark, feed, NEW_PRODUCTS),
-        score,
+        lambda batch: _predict_announced(spark, folder, batch),
         out,
         scratch_path(spark, "product-offsets"),
         available_now=True,
     ).awaitTermination()
-    return _forecast_facts(tables.read_evolving(spark, out))
+    streamed = tables.read_evolving(spark, out)
+    batch = _predict_announced(spark, folder, announced).select("product_id", F.col("prediction_3m_total").alias("batch_total"))
+    both = streamed.join(batch, "product_id", "full")
+    gap = F.abs(F.col("prediction_3m_total") - F.col("batch_total"))
+    same = F.coalesce(gap <= 1e-6 * F.greatest(F.col("batch_total"), F.lit(1.0)), F.lit(False))
+    return _forecast_facts(both, same.alias("as_batch"))
 
 
 ALL: tuple[Query, ...] = (
@@ -653,6 +731,11 @@ ALL: tuple[Query, ...] = (
     risk_model_quality,
     demand_forecast,
     training_history,
+    demand_model_quality,
+    evaluation_log,
+    published_run,
+    title_idf_weights,
+    eligible_customers_sketched,
     appended_predictions,
     latest_run,
     stream_transaction_scores,
