@@ -4,10 +4,12 @@ Every language (NULL: `und`) is mined on its own. Texts are read once and writte
 words of some texts of one language and the texts as codes of these words, 0 where a piece ends. Words are
 counted from the blocks. Then, for phrases of 2, 3, 4, 5 words:
 
-1. A position is alive if the shorter phrases at it and at the next word are both frequent. Frequent phrases
-   are looked up in a bitmap of 2^24 bits, living positions are counted by hash in 2^22 counters that stop at
-   the minimum. Both can only err towards more, so no frequent phrase is lost.
-2. Living positions whose counter reaches the minimum give the candidates, as distinct phrases.
+1. A position is alive if the shorter phrases at it and at the next word are both frequent. Living positions
+   are counted by hash in one counter per eight words of the corpus, which stop at the minimum. Counters
+   travel as the few that a task met, packed by ranges of 2^16, and are summed range by range.
+2. Living positions whose counter reaches the minimum give the candidates, as distinct phrases. Frequent
+   phrases and full counters are looked up in Bloom filters of 2^25 bits, whatever their number. Filters and
+   counters can only err towards more, so no frequent phrase is lost.
 3. Candidates are dealt by hash into shards of about 2^16. Each becomes a double-array trie over its words:
    state s goes on with symbol c to t = base[s] + c if check[t] = s.
 4. The tries of up to eight shards are broadcast at a time (their number of phrases bounds them); over every
@@ -28,7 +30,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +43,10 @@ UNKNOWN_LANG = "und"
 
 BLOCK_WORDS = 1 << 18
 OPEN_WORDS = 1 << 20  # of all languages, in blocks not yet written
-COUNTER_BITS, FREQUENT_BITS = 22, 24
-CHUNK_BITS = 16  # counters in a row
-FAN_IN = 64  # rows of counters summed by one task
+WORDS_A_COUNTER = 8
+CHUNK_BITS = 16  # of the counters that are summed together
+OPEN_POSITIONS = 1 << 22  # counted together by a task
+FILTER_BITS = 25
 TRIE_PHRASES = 1 << 16
 TRIES_AT_ONCE = 8
 KNOWN_PHRASES = 1 << 17  # held by a task to send a candidate once
@@ -55,8 +57,10 @@ _PLAIN = bytes.maketrans(
     bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + _BREAK * len(_BREAKS)
 )
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+# Odd multipliers, one per bit that the filter sets.
+_FILTER_FACTORS = [np.uint64((2 * 0x632BE59BD9B4E019 * (i + 3) + 1) % 2**64) for i in range(4)]
 
-BLOCK_SCHEMA = "lang string, words array<string>, counts array<long>, hashes binary, codes binary"
+BLOCK_SCHEMA = "lang string, words array<string>, counts array<int>, hashes binary, width int, codes binary"
 TRIE_SCHEMA = (
     "shard long, langs array<string>, words array<string>, base binary, `check` binary, "
     "phrase_langs array<string>, phrases array<string>, states array<int>"
@@ -96,17 +100,19 @@ class _Block:
     def row(self, lang: str) -> dict:
         words = list(self.known)[1:]
         codes = np.concatenate(self.codes)
+        width = 2 if len(self.known) <= 1 << 16 else 4
         return {
             "lang": lang,
             "words": [w.decode() for w in words],
             "counts": np.bincount(codes, minlength=len(self.known))[1:],
             "hashes": _hashes(lang, words).tobytes(),
-            "codes": codes.tobytes(),
+            "width": width,
+            "codes": codes.astype(f"<u{width}").tobytes(),
         }
 
 
 def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+    kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary()]
     open_blocks: dict[str, _Block] = {}
 
     def closed(lang: str) -> Iterator[pa.RecordBatch]:
@@ -139,41 +145,58 @@ def word_blocks(docs: DataFrame) -> DataFrame:
 # Apriori-safe candidates ---------------------------------------------------------------
 
 
-def _mixed(h: np.ndarray, bits: int) -> np.ndarray:
-    """The upper bits of a hash after a last multiplication."""
-    return ((h ^ (h >> np.uint64(32))) * _FACTOR >> np.uint64(64 - bits)).astype(np.int64)
-
-
 def _longer(h: np.ndarray, next_word: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * _FACTOR + next_word
 
 
-def _phrase_buckets(lang: str, phrases: list[str]) -> np.ndarray:
-    """Bits of phrases of equal length in the bitmap of frequent ones."""
+def _phrase_hashes(lang: str, phrases: list[str]) -> np.ndarray:
+    """Hashes of phrases of equal length, as _alive makes them."""
     words = [p.encode().split(b" ") for p in phrases]
     h = _hashes(lang, [w[0] for w in words])
     for j in range(1, len(words[0])):
         h = _longer(h, _hashes(lang, [w[j] for w in words]))
-    return _mixed(h, FREQUENT_BITS)
+    return h
+
+
+def _bits_of(h: np.ndarray, factor: np.uint64) -> np.ndarray:
+    return ((h ^ (h >> np.uint64(32))) * factor >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
 
+def _in_filter(packed: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Marks the hashes whose bits are all set."""
+    left = np.arange(len(h))
+    for factor in _FILTER_FACTORS:
+        place = _bits_of(h[left], factor)
+        left = left[(packed[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+    found = np.zeros(len(h), bool)
+    found[left] = True
+    return found
+
+
+def _filter_of(hashes: DataFrame) -> np.ndarray:
+    """The packed filter of the column `h`: 2^FILTER_BITS bits, collected as rows of 32,768."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column("h").to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_bits_of(h, f) for f in _FILTER_FACTORS]))], ["place"])
 
-def _bitmap(buckets: DataFrame, bits: int) -> np.ndarray:
-    """The packed bitmap of the column `bucket`: 2^bits bits, collected as rows of 32,768."""
-    place = F.col("bucket") + 1
+    place = F.col("place") + 1
     rows = (
-        buckets.groupBy(F.bitmap_bucket_number(place).alias("number"))
+        hashes.mapInArrow(run, "place long")
+        .groupBy(F.bitmap_bucket_number(place).alias("number"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
         .collect()
     )
-    packed = np.zeros(max(1, (1 << bits) // 32768) * 4096, np.uint8)
+    packed = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in rows:
         at = (r["number"] - 1) * 4096
         packed[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
     return packed
 
 
-def frequent_bitmap(frequent: DataFrame) -> np.ndarray:
-    """Bits of frequent phrases, all of one length."""
+def frequent_filter(frequent: DataFrame) -> np.ndarray:
+    """The filter of frequent phrases, all of one length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,102 +204,100 @@ def frequent_bitmap(frequent: DataFrame) -> np.ndarray:
             for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
                 by_lang.setdefault(lang, []).append(phrase)
             for lang, phrases in by_lang.items():
-                yield pa.RecordBatch.from_arrays([pa.array(_phrase_buckets(lang, phrases))], ["bucket"])
-
-    return _bitmap(frequent.select("lang", "phrase").mapInArrow(run, "bucket long"), FREQUENT_BITS)
-
+                yield pa.RecordBatch.from_arrays([pa.array(_phrase_hashes(lang, phrases).view(np.int64))], ["h"])
 
-def _unpacked(bitmap: np.ndarray) -> np.ndarray:
-    return np.unpackbits(bitmap, bitorder="little").view(bool)
+    return _filter_of(frequent.select("lang", "phrase").mapInArrow(run, "h long"))
 
 
-def _alive(codes: np.ndarray, hashes: np.ndarray, k: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _alive(codes: np.ndarray, hashes: np.ndarray, k: int, frequent: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions whose k words end in no piece and whose shorter phrases may be frequent; counter of each."""
     at = np.flatnonzero(codes)  # starts of phrases of j words
-    padded = np.concatenate([[np.uint64(0)], hashes])
+    padded = np.concatenate([np.zeros(1, np.uint64), hashes])
     h = padded[codes[at]]
     for j in range(1, k - 1):
         go_on = codes[at + j] > 0  # the last code of a block is 0
         at, h = at[go_on], h[go_on]
         h = _longer(h, padded[codes[at + j]])
-    good = frequent[_mixed(h, FREQUENT_BITS)]
+    good = _in_filter(frequent, h)
     both = np.zeros(len(codes) + 1, bool)
     both[at[good]] = True
     living = good & both[at + 1]
     at, h = at[living], h[living]
-    return at, _mixed(_longer(h, padded[codes[at + k - 1]]), COUNTER_BITS)
+    h = _longer(h, padded[codes[at + k - 1]])
+    return at, (h ^ (h >> np.uint64(32))) * _FACTOR >> np.uint64(64 - bits)
 
 
 def _arrays(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Row number, codes and word hashes of every block."""
     for i in range(batch.num_rows):
-        codes = np.frombuffer(batch.column("codes")[i].as_buffer(), np.int32)
-        yield i, codes, np.frombuffer(batch.column("hashes")[i].as_buffer(), np.uint64)
+        yield i, _codes(batch, i), np.frombuffer(batch.column("hashes")[i].as_buffer(), np.uint64)
+
+
+def _codes(batch: pa.RecordBatch, i: int) -> np.ndarray:
+    return np.frombuffer(batch.column("codes")[i].as_buffer(), f"<u{batch.column('width')[i].as_py()}").astype(np.int32)
 
 
-def _counter_rows(counters: np.ndarray, group: int) -> pa.RecordBatch:
-    rows = [(c, part) for c, part in enumerate(counters.reshape(-1, 1 << CHUNK_BITS)) if part.any()]
-    numbers = pa.array([c for c, _ in rows], pa.int64())
-    parts = pa.array([part.tobytes() for _, part in rows], pa.binary())
-    return pa.RecordBatch.from_arrays([numbers, pa.array([group] * len(rows), pa.int64()), parts], ["chunk", "part", "counters"])
+def counter_bits(n_words: int) -> int:
+    return max(CHUNK_BITS, (max(1, n_words) // WORDS_A_COUNTER).bit_length())
 
 
-def hashed_counts(blocks: DataFrame, k: int, frequent: np.ndarray, least: int) -> np.ndarray:
-    """The packed bitmap of the counters that reach `least` at living positions of k words.
+def _counter_rows(counters: list[np.ndarray], least: int, kind: np.dtype) -> pa.RecordBatch:
+    """Counters met and their counts, one row per range of counters."""
+    met, n = np.unique(np.concatenate(counters), return_counts=True)
+    n, chunk = np.minimum(n, least).astype(kind), met >> np.uint64(CHUNK_BITS)
+    starts = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])) if len(met) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(met))
+    low = (met & np.uint64((1 << CHUNK_BITS) - 1)).astype(np.uint16)
+    columns = [
+        pa.array(chunk[starts].astype(np.int64)),
+        pa.array([low[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+        pa.array([n[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["chunk", "low", "n"])
 
-    Counters stop at `least`: a sum of stopped counters reaches it if and only if the whole sum does.
-    Tasks' counters are summed FAN_IN at a time, so no task meets more than that.
+
+def full_counters(blocks: DataFrame, k: int, frequent: np.ndarray, least: int, bits: int) -> np.ndarray:
+    """The filter of the counters that reach `least` at living positions of k words.
+
+    Counters stop at `least`: a sum of stopped counters reaches it if and only if the whole sum does. A range's
+    rows are about 2^16 times WORDS_A_COUNTER counts of 3 bytes, however large the corpus is.
     """
-    spark = blocks.sparkSession
-    shared = spark.sparkContext.broadcast(frequent)
-    kind, fan_in = np.min_scalar_type(least), FAN_IN
+    shared = blocks.sparkSession.sparkContext.broadcast(frequent)
+    kind = np.min_scalar_type(least)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, bits = np.zeros(1 << COUNTER_BITS, kind), None
+        held = []
         for batch in batches:
-            bits = _unpacked(shared.value) if bits is None else bits
-            for _, codes, hashes in _arrays(batch):
-                found, n = np.unique(_alive(codes, hashes, k, bits)[1], return_counts=True)
-                counters[found] = np.minimum(counters[found] + n, least)
-        yield _counter_rows(counters, TaskContext.get().partitionId())
-
-    def add(rows: pa.Table) -> pa.Table:
+            held += [_alive(codes, hashes, k, shared.value, bits)[1] for _, codes, hashes in _arrays(batch)]
+            if sum(map(len, held)) >= OPEN_POSITIONS:
+                yield _counter_rows(held, least, kind)
+                held = []
+        if held:
+            yield _counter_rows(held, least, kind)
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
         total = np.zeros(1 << CHUNK_BITS, np.int64)
-        for part in rows["counters"]:
-            total += np.frombuffer(part.as_buffer(), kind)
-        total = np.minimum(total, least).astype(kind)
-        group = rows["part"][0].as_py() // fan_in
-        return pa.table({"chunk": rows["chunk"][:1], "part": pa.array([group], pa.int64()), "counters": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "chunk long, part long, counters binary"
-    parts = materialise(blocks.select("hashes", "codes").mapInArrow(count, schema), "counters")
-    while (parts.agg(F.max("part")).first()[0] or 0) > 0:
-        summed = parts.groupBy("chunk", F.floor(F.col("part") / fan_in).alias("group")).applyInArrow(add, schema)
-        parts = materialise(summed, "counters")
-
-    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, part in zip(batch.column("chunk").to_pylist(), batch.column("counters")):
-                full = np.flatnonzero(np.frombuffer(part.as_buffer(), kind) >= least)
-                yield pa.RecordBatch.from_arrays([pa.array(full + (chunk << CHUNK_BITS))], ["bucket"])
+        for low, n in zip(rows["low"], rows["n"]):
+            total[np.frombuffer(low.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), kind)
+        return pa.table({"h": pa.array(np.flatnonzero(total >= least) + (key[0].as_py() << CHUNK_BITS), pa.int64())})
 
-    bitmap = _bitmap(parts.select("chunk", "counters").mapInArrow(reach, "bucket long"), COUNTER_BITS)
+    parts = blocks.select("hashes", "width", "codes").mapInArrow(count, "chunk long, low binary, n binary")
+    full = _filter_of(parts.groupBy("chunk").applyInArrow(add, "h long"))
     shared.destroy()
-    return bitmap
+    return full
 
 
-def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, counted: np.ndarray) -> DataFrame:
+def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, full: np.ndarray, bits: int) -> DataFrame:
     """Distinct phrases of k words at living positions whose counter reaches the minimum; written."""
     spark = blocks.sparkSession
-    shared = spark.sparkContext.broadcast((frequent, counted))
+    shared = spark.sparkContext.broadcast((frequent, full))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, sent = None, {}
+        sent: dict[str, set[str]] = {}
         for batch in batches:
-            bits = [_unpacked(b) for b in shared.value] if bits is None else bits
             for i, codes, hashes in _arrays(batch):
-                at, counter = _alive(codes, hashes, k, bits[0])
-                at = at[bits[1][counter]]
+                at, counter = _alive(codes, hashes, k, shared.value[0], bits)
+                at = at[_in_filter(shared.value[1], counter)]
                 n_words, number = len(hashes) + 1, codes[at].astype(np.int64)
                 first = np.arange(len(at))
                 for j in range(1, k):  # equal numbers for equal words so far
@@ -295,7 +316,7 @@ def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, counted: np.ndar
                 columns = [pa.array([lang] * len(fresh), pa.string()), pa.array(fresh, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase"])
 
-    found = blocks.select("lang", "words", "hashes", "codes").mapInArrow(run, "lang string, phrase string")
+    found = blocks.select("lang", "words", "hashes", "width", "codes").mapInArrow(run, "lang string, phrase string")
     found = materialise(found.distinct(), "candidates")
     shared.destroy()
     return found
@@ -464,7 +485,7 @@ def trie_counts(blocks: DataFrame, tries: DataFrame, k: int) -> DataFrame:
                     totals = [np.zeros(len(t.check), np.int64) for t in loaded]
                 for b in range(batch.num_rows):
                     lang, words = batch.column("lang")[b].as_py(), batch.column("words")[b].as_py()
-                    codes = np.frombuffer(batch.column("codes")[b].as_buffer(), np.int32)
+                    codes = _codes(batch, b)
                     for trie, total in zip(loaded, totals):
                         total += np.bincount(trie.states(lang, words, codes, k), minlength=len(total))
             for trie, total in zip(loaded or (), totals):
@@ -472,7 +493,7 @@ def trie_counts(blocks: DataFrame, tries: DataFrame, k: int) -> DataFrame:
                 columns = [np.full(len(seen), trie.shard), seen, total[seen]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["shard", "state", "n"])
 
-        sums = blocks.select("lang", "words", "codes").mapInArrow(run, "shard long, state long, n long")
+        sums = blocks.select("lang", "words", "width", "codes").mapInArrow(run, "shard long, state long, n long")
         part = materialise(sums.groupBy("shard", "state").agg(F.sum("n").alias("n")), "state-counts")
         shared.destroy()
         counted = part if counted is None else counted.unionByName(part)
@@ -493,10 +514,10 @@ def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT, longest: int = LON
     counts = materialise(words.groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("a")), "words")
     totals = materialise(counts.groupBy("lang").agg(F.sum("a").alias("n")), "word-totals")
     level = materialise(counts.filter(F.col("a") >= least).select("lang", "phrase", F.lit(1).alias("k"), "a"), "frequent")
-    frequent = level
+    frequent, bits = level, counter_bits(totals.agg(F.sum("n")).first()[0] or 0)
     for k in range(2, longest + 1):
-        shorter = frequent_bitmap(level)
-        found = candidates(blocks, k, shorter, hashed_counts(blocks, k, shorter, least))
+        shorter = frequent_filter(level)
+        found = candidates(blocks, k, shorter, full_counters(blocks, k, shorter, least, bits), bits)
         n_found = found.count()
         if not n_found:
             break
