@@ -36,7 +36,7 @@ END, START = 256, 257
 ALPHABET = 257  # bytes and the end
 SYMBOL_BITS = 9
 BLOCK_BYTES = 16 << 20
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 4 << 20
 SMOOTHING = 0.1
 KEY_SCHEMA = "block int, gram long, word binary, n long"
 SCORE_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, weight double, score double"
@@ -52,19 +52,48 @@ def gram_codes(raws: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.nd
     are filled with START.
     """
     n = np.array([len(r) for r in raws], np.int64)
-    width = n + 1 + order
-    first = np.cumsum(width) - width
-    symbols = np.full(int(width.sum()), START, np.int64)
-    flat = np.frombuffer(b"".join(raws), np.uint8)
-    within = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-    symbols[np.repeat(first + order, n) + within] = flat
-    symbols[first + order + n] = END
-    codes = np.zeros(max(0, len(symbols) - order), np.int64)
-    for i in range(order + 1):
-        codes = (codes << SYMBOL_BITS) | symbols[i : i + len(codes)]
+    if not len(n):
+        return np.zeros(0, np.int64), n
+    gap = bytes(order + 1)  # a text's end and the next one's starts
+    symbols = np.frombuffer(bytes(order) + gap.join(raws) + b"\0", np.uint8).astype(np.int64)
+    ends = np.cumsum(n + 1 + order) - 1
+    symbols[ends] = END
+    symbols[:order] = START
+    for i in range(1, order + 1):
+        symbols[ends[:-1] + i] = START
+    codes = symbols[: len(symbols) - order].copy()
+    for i in range(1, order + 1):
+        codes <<= SYMBOL_BITS
+        codes |= symbols[i : i + len(codes)]
     return codes[symbols[order:] != START], n + 1
 
 
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of an ordered array begins."""
+    if not len(ordered):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
+def _gram_counts(raws: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of the texts, and their counts: every chunk is sorted, then the chunks' codes are."""
+    grams, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for part in _chunks(raws):
+        codes, _ = gram_codes(raws[part], order)
+        codes.sort()
+        starts = _runs(codes)
+        grams.append(codes[starts])
+        counts.append(np.diff(np.append(starts, len(codes))))
+    return _merged(np.concatenate(grams), np.concatenate(counts))
+
+
+def _merged(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    by_gram = np.argsort(grams, kind="stable")
+    grams, counts = grams[by_gram], counts[by_gram]
+    starts = _runs(grams)
+    return grams[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+
+
 def _chunks(raws: list[bytes]) -> Iterator[slice]:
     """Slices of texts with CHUNK_BYTES, or a single longer text."""
     start, size = 0, 0
@@ -102,15 +131,9 @@ def _keys(order: int):
         words = [*counts, *others.difference(counts)]
         n = np.zeros(len(words), np.int64)
         n[: len(counts)] = list(counts.values())
-        grams, weights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for part in _chunks(raws):
-            codes, size = gram_codes(raws[part], order)
-            own = np.repeat(np.array(learned[part], bool), size)
-            unique, inverse = np.unique(codes, return_inverse=True)
-            grams.append(unique)
-            weights.append(np.bincount(inverse, own, len(unique)).astype(np.int64))
-        grams, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-        weights = np.bincount(inverse, np.concatenate(weights), len(grams)).astype(np.int64)
+        own, weights = _gram_counts([r for r, known in zip(raws, learned) if known], order)
+        new, _ = _gram_counts([r for r, known in zip(raws, learned) if not known], order)
+        grams, weights = _merged(np.concatenate([own, new]), np.concatenate([weights, np.zeros(len(new), np.int64)]))
         size = len(grams) + len(words)
         return pa.table(
             {
@@ -124,40 +147,61 @@ def _keys(order: int):
     return run
 
 
+def _looked_up(grams: np.ndarray, logs: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The log of every code. Codes are searched in their own order, so that neighbours lie near each other."""
+    by_code = np.argsort(codes)
+    ordered = codes[by_code]
+    at = np.searchsorted(grams, ordered)
+    if len(codes) and (at[-1] >= len(grams) or (grams[at] != ordered).any()):
+        raise RuntimeError("a block's documents changed between two passes")
+    out = np.empty(len(codes))
+    out[by_code] = logs[at]
+    return out
+
+
+def _word_numbers(raws: list[bytes]) -> tuple[dict[bytes, int], list[np.ndarray]]:
+    """A number per distinct word of the block, and every text as numbers."""
+    known: dict[bytes, int] = {b"": 0}
+    texts_of: list[np.ndarray] = []
+    for raw in raws:
+        words = raw.split()
+        for w in set(words):
+            if w not in known:
+                known[w] = len(known)
+        texts_of.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+    return known, texts_of
+
+
 def _score_block(order: int):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         raws, learned = _block_texts(docs)
-        is_gram = found["gram"].is_valid()
-        of_grams = found.filter(is_gram)
+        of_grams = found.filter(found["gram"].is_valid())
         grams, logs = of_grams["gram"].to_numpy(), of_grams["value"].to_numpy()
         by_gram = np.argsort(grams)
         grams, logs = grams[by_gram], logs[by_gram]
-        counts, others = _word_counts(raws, learned)
-        values = {w: np.log10(c + SMOOTHING) for w, c in counts.items()}
-        values |= dict.fromkeys(others.difference(counts), float(np.log10(SMOOTHING)))
+        known, numbers = _word_numbers(raws)
+        counts = np.zeros(len(known), np.int64)
+        counts[0] = sum(learned)
+        training = [x for own, x in zip(learned, numbers) if own]
+        if training:
+            counts += np.bincount(np.concatenate(training), minlength=len(counts))
+        values = np.log10(counts + SMOOTHING)
         of_words = found.filter(found["word"].is_valid())
-        values |= zip(of_words["word"].to_pylist(), of_words["value"].to_pylist())
-        end = values[b""]
-        tokens, known, weight, score = [], [], [], []
+        for word, value in zip(of_words["word"].to_pylist(), of_words["value"].to_pylist()):
+            values[known[word]] = value
+        end = values[0]
+        score = []
         for part in _chunks(raws):
             codes, size = gram_codes(raws[part], order)
-            at = np.searchsorted(grams, codes)
-            if len(codes) and (at.max() >= len(grams) or (grams[at] != codes).any()):
-                raise RuntimeError("a block's documents changed between two passes")
-            starts = np.cumsum(size) - size
-            score += np.add.reduceat(logs[at], starts).tolist() if len(size) else []
-            for raw in raws[part]:
-                x = np.fromiter(map(values.__getitem__, raw.split()), float)
-                tokens.append(len(x) + 1)
-                known.append(int((x > 0).sum()) + (end > 0))
-                weight.append(float(x.sum()) + end)
+            score += np.add.reduceat(_looked_up(grams, logs, codes), np.cumsum(size) - size).tolist()
+        logs_of = [values[x] for x in numbers]
         return pa.table(
             {
                 "doc_id": docs["doc_id"],
                 "held_out": docs["held_out"],
-                "n_tokens": pa.array(tokens, pa.int64()),
-                "n_known": pa.array(known, pa.int64()),
-                "weight": pa.array(weight, pa.float64()),
+                "n_tokens": pa.array([len(x) + 1 for x in numbers], pa.int64()),
+                "n_known": pa.array([int((x > 0).sum()) + int(end > 0) for x in logs_of], pa.int64()),
+                "weight": pa.array([float(x.sum() + end) for x in logs_of], pa.float64()),
                 "score": pa.array(score, pa.float64()),
             }
         )
