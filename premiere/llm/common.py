@@ -51,6 +51,21 @@ def texts(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+CARRIED = "_carried"
+
+
+def carried(docs: DataFrame, *used: str) -> DataFrame:
+    """The used columns, and all others as one struct: no name that an operator works with can meet theirs."""
+    rest = [docs[f"`{c}`"] for c in docs.columns if c not in used]
+    held = F.struct(*rest) if rest else F.lit(None).cast("int")
+    return docs.select(*[c for c in used if c in docs.columns], held.alias(CARRIED))
+
+
+def unpacked(docs: DataFrame, *used: str) -> dict[str, Column]:
+    """The columns of docs by name, as they are found in rows of carried(docs, *used)."""
+    return {c: (F.col(c) if c in used else F.col(CARRIED).getField(c)).alias(c) for c in docs.columns}
+
+
 HOT_SHARE = 1000
 
 

@@ -19,7 +19,8 @@ vouch for (two standard errors below), so that a handful of documents takes noth
 Defined cases: NULL texts and texts without a letter are `und` with score 0, as is every text when
 nothing was learned; a text none of whose trigrams is known gets the commonest language and score 0;
 ties go to the language with more training documents, then by name; rows with a NULL id or language are
-never learned from; repeated rows are judged row by row.
+never learned from; repeated rows are judged row by row; a very long text is judged in chunks by one task; an
+empty table gives no rows. Other columns are kept, whatever their names, but for the three that are added.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from premiere.llm.common import bounded_batches, per_batch
+from premiere.llm.common import bounded_batches, carried, per_batch, unpacked
 from premiere.session import materialise
 
 SLICE_LANGUAGES = 256
@@ -298,8 +299,7 @@ def identified(docs: DataFrame, learned: Learned) -> DataFrame:
 
     Runs a job; with several slices one per slice.
     """
-    names = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_known")]
-    rows = docs.select(*names)
+    rows = carried(docs, "text")
     judged = _judged(rows, learned) if len(learned.slices) < 2 else _judged_by_slices(rows, learned)
     listed = [(i, *x) for i, x in enumerate(zip(learned.languages, learned.known))]
     table = docs.sparkSession.createDataFrame(listed, "_number long, _lang string, _known double")
@@ -307,4 +307,5 @@ def identified(docs: DataFrame, learned: Learned) -> DataFrame:
     pred = F.when(F.col("_total") > 0, F.col("_lang")).otherwise(UNKNOWN)
     score = F.when(F.col("_total") > 0, F.least(F.lit(1.0), F.col("_hits") / F.col("_total"))).otherwise(0.0)
     known = F.coalesce("_known", F.lit(0.0)).alias("lang_known")
-    return judged.select(*names, F.coalesce(pred, F.lit(UNKNOWN)).alias("lang_pred"), score.alias("lang_score"), known)
+    found = {"lang_pred": F.coalesce(pred, F.lit(UNKNOWN)).alias("lang_pred"), "lang_score": score.alias("lang_score"), "lang_known": known}
+    return judged.select(*[c for name, c in unpacked(docs, "text").items() if name not in found], *found.values())

@@ -13,7 +13,9 @@ go. A line has a word, so no L exceeds MIN_WORDS and the number of levels is fix
 
 Defined cases: a NULL text has no lines and stays NULL; NULL ids come after all others; repeated rows
 are separate documents, the later loses what it shares; a run that overlaps its own copy loses the later
-lines; a text that loses every line with a word becomes empty. Other columns are kept as they are.
+lines; a text that loses every line with a word becomes empty; a very long text's lines are rows of their own
+until its left lines are put together in one row; an empty table gives no rows. Other columns are kept as they
+are, whatever their names, but for a `deleted_lines` of the caller's, which is replaced.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from premiere.llm.common import WORD, join_spread, let
+from premiere.llm.common import WORD, carried, join_spread, let, unpacked
 from premiere.session import materialise
 
 #: Chance repeats are shorter runs; a licence, header or footer line has so many words alone.
@@ -135,7 +137,8 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Runs jobs when called; the input is written once, so that its rows have fixed numbers.
     """
-    numbered = materialise(docs.withColumn(_ROW, F.monotonically_increasing_id()), "documents")
+    rows = carried(docs, "doc_id", "text")
+    numbered = materialise(rows.withColumn(_ROW, F.monotonically_increasing_id()), "documents")
     gone = materialise(later_copies(numbered.select("doc_id", _ROW, "text"), min_words), "later-copies")
     # The same plan at every size: texts are dealt once and meet the few positions in a hash table, unsorted.
     joined = numbered.join(gone.withColumnRenamed("row", _ROW).hint("shuffle_hash"), _ROW, "left")
@@ -152,4 +155,5 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     text = F.when(F.col("positions").isNull(), F.col("text")).when(left.rlike(WORD), left).otherwise("")
     counted = joined.withColumn("deleted_lines", F.coalesce(F.size("positions"), F.lit(0)))
     counted = counted.withColumn("deleted_lines", F.greatest("deleted_lines", F.lit(0)))
-    return counted.withColumn("text", text).drop(_ROW, "positions").select(*docs.columns, "deleted_lines")
+    columns = unpacked(docs, "doc_id", "text") | {"deleted_lines": F.col("deleted_lines")}
+    return counted.withColumn("text", text).select(*columns.values())

@@ -38,8 +38,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without later copies of runs of lines of LINE_DEDUP_SQL's 50 words, not the operator's 8."""
-    left = line_dedup.line_dedup(table(spark, sf_dir, "documents"), min_words=50)
+    """All documents without later copies of runs of lines, as the operator finds them."""
+    left = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "deleted_lines", F.length("text").alias("left_chars"), F.md5(F.col("text").cast("binary")).alias("left_md5"))
 
 
@@ -184,10 +184,10 @@ WITH raw AS (
     SELECT *, sum(words) OVER (PARTITION BY r ORDER BY i) AS upto, sum(words) OVER (PARTITION BY r ORDER BY i) - words AS before
     FROM lines
 ), bounds AS (
-    SELECT a.r, a.i AS i1, min(b.i) AS i2 FROM sums a JOIN sums b ON a.r = b.r AND b.i >= a.i AND b.upto - a.before >= 50
+    SELECT a.r, a.i AS i1, min(b.i) AS i2 FROM sums a JOIN sums b ON a.r = b.r AND b.i >= a.i AND b.upto - a.before >= 8
     GROUP BY a.r, a.i
     UNION
-    SELECT b.r, max(a.i), b.i FROM sums a JOIN sums b ON a.r = b.r AND b.i >= a.i AND b.upto - a.before >= 50
+    SELECT b.r, max(a.i), b.i FROM sums a JOIN sums b ON a.r = b.r AND b.i >= a.i AND b.upto - a.before >= 8
     GROUP BY b.r, b.i
 ), runs AS (
     SELECT w.r, w.i1, w.i2, md5(string_agg(s.line, chr(10) ORDER BY s.i)) AS h
@@ -208,11 +208,8 @@ FROM raw LEFT JOIN clean USING (r)
 """
 
 QUALITY_RULES_SQL = r"""
-WITH big AS (
-    SELECT lang FROM documents WHERE lang <> '' GROUP BY lang HAVING count(*) * 1000 >= (SELECT count(*) FROM documents)
-), d AS (
-    SELECT doc_id, coalesce(text, '') AS text, CASE WHEN lang IN (SELECT lang FROM big) THEN lang ELSE '' END AS language
-    FROM documents
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, nullif(lang, '') AS language FROM documents
 ), w AS (
     SELECT doc_id, language, unnest(x) AS word, unnest(range(len(x))) AS i
     FROM (SELECT doc_id, language, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS x FROM d)
@@ -265,8 +262,9 @@ WITH big AS (
     UNION ALL
     SELECT doc_id, language, base_failed, 'c', CAST(bin AS VARCHAR), CAST(n AS DOUBLE) FROM class_bins
 ), refs AS (
-    SELECT language, kind, bin, sum(n) / nullif(sum(sum(n)) OVER (PARTITION BY language, kind), 0) AS q
-    FROM bins WHERE NOT base_failed GROUP BY language, kind, bin
+    SELECT language, kind, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY language, kind) AS q
+    FROM bins WHERE NOT base_failed AND language IS NOT NULL GROUP BY language, kind, bin
+    QUALIFY sum(sum(n)) OVER (PARTITION BY language, kind) >= CASE kind WHEN 'c' THEN 2000 ELSE 600 END
 ), own AS (
     SELECT *, coalesce(n / nullif(sum(n) OVER (PARTITION BY doc_id, kind), 0), 0) AS p FROM bins
 ), far AS (
