@@ -1,5 +1,7 @@
 """Small document tables with the awkward rows every operator must take."""
 
+from pyspark.sql import functions as F
+
 WORDS = "the of and to in is it was for on as with at by from they have this that are".split()
 
 
@@ -35,5 +37,17 @@ def awkward(spark):
     return spark.createDataFrame([(i, t, g, 7, "x", None, "l") for i, t, g in rows], SCHEMA)
 
 
+#: Names that operators and stages work with.
+CLASHES = (
+    "quality_score lang_score lang_pred lang_known _number _hits _lang _total _known positions deleted_lines _near_row "
+    "_carried component_id row line h rank a.b"
+).split()
+
+
+def clashing(docs):
+    """Documents with a column by each of these names, all with one value."""
+    return docs.withColumns({c: F.lit(f"own {c}") for c in CLASHES if c not in docs.columns})
+
+
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)

@@ -5,7 +5,7 @@ import numpy as np
 import corpus_pipeline
 from premiere.llm.common import table
 
-from .helpers import awkward, prose
+from .helpers import CLASHES, awkward, clashing, prose
 
 STAGES = dict(corpus_pipeline.STAGES)
 
@@ -30,6 +30,21 @@ def test_filtering_stages_return_the_columns_of_documents(spark, folder):
         assert STAGES[name](spark, docs.limit(0), folder).count() == 0
 
 
+def test_filtering_stages_carry_columns_of_any_name(spark, folder):
+    docs = clashing(awkward(spark).drop("row"))
+    for name in list(STAGES)[:4]:
+        out = STAGES[name](spark, docs, folder)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert all(r[c] == f"own {c}" for c in CLASHES)
+
+
+def test_all_stages_take_empty_tables(spark, folder):
+    docs = awkward(spark).limit(0)
+    for name, stage in STAGES.items():
+        assert stage(spark, docs, folder).count() == 0, name
+
+
 def test_line_stage_drops_what_nothing_is_left_of_and_follows_lengths(spark):
     run, own = prose(1, 60), prose(2, 30)
     rows = [(1, run, len(run)), (2, run, len(run)), (3, own + "\n" + run, len(own) + 1 + len(run)), (4, "", 0)]
