@@ -60,6 +60,9 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 # Odd multipliers, one per bit that the filter sets.
 _FILTER_FACTORS = [np.uint64((2 * 0x632BE59BD9B4E019 * (i + 3) + 1) % 2**64) for i in range(4)]
 
+# Of the parts that blocks were written in, this share tells its candidates first.
+_FIRST_OF = 8
+
 BLOCK_SCHEMA = "lang string, words array<string>, counts array<int>, hashes binary, width int, codes binary"
 TRIE_SCHEMA = (
     "shard long, langs array<string>, words array<string>, base binary, `check` binary, "
@@ -139,7 +142,8 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     """Blocks of at most BLOCK_WORDS words (or one text), of one language each."""
     bounded_batches(docs.sparkSession)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN_LANG)).alias("lang")
-    return docs.select(lang, "text").mapInArrow(_blocks_of, BLOCK_SCHEMA)
+    made = docs.select(lang, "text").mapInArrow(_blocks_of, BLOCK_SCHEMA)
+    return made.withColumn("part", F.spark_partition_id())
 
 
 # Apriori-safe candidates ---------------------------------------------------------------
@@ -287,17 +291,17 @@ def full_counters(blocks: DataFrame, k: int, frequent: np.ndarray, least: int, b
     return full
 
 
-def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, full: np.ndarray, bits: int) -> DataFrame:
-    """Distinct phrases of k words at living positions whose counter reaches the minimum; written."""
-    spark = blocks.sparkSession
-    shared = spark.sparkContext.broadcast((frequent, full))
+def _told(blocks: DataFrame, k: int, filters: tuple[np.ndarray, np.ndarray], bits: int, known: dict[str, set[str]]) -> DataFrame:
+    """Phrases of k words at living positions whose counter is full, each once per task, but for the known."""
+    shared = blocks.sparkSession.sparkContext.broadcast((*filters, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: dict[str, set[str]] = {}
         for batch in batches:
+            frequent, full, known = shared.value
             for i, codes, hashes in _arrays(batch):
-                at, counter = _alive(codes, hashes, k, shared.value[0], bits)
-                at = at[_in_filter(shared.value[1], counter)]
+                at, counter = _alive(codes, hashes, k, frequent, bits)
+                at = at[_in_filter(full, counter)]
                 n_words, number = len(hashes) + 1, codes[at].astype(np.int64)
                 first = np.arange(len(at))
                 for j in range(1, k):  # equal numbers for equal words so far
@@ -310,9 +314,9 @@ def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, full: np.ndarray
                 phrases = [" ".join([words[w] for w in row]) for row in inside.reshape(rows.shape).tolist()]
                 if sum(map(len, sent.values())) > KNOWN_PHRASES:
                     sent.clear()
-                known = sent.setdefault(lang, set())
-                fresh = [p for p in phrases if p not in known]
-                known.update(fresh)
+                own, others = sent.setdefault(lang, set()), known.get(lang, ())
+                fresh = [p for p in phrases if p not in own and p not in others]
+                own.update(fresh)
                 columns = [pa.array([lang] * len(fresh), pa.string()), pa.array(fresh, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase"])
 
@@ -322,6 +326,21 @@ def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, full: np.ndarray
     return found
 
 
+def candidates(blocks: DataFrame, k: int, frequent: np.ndarray, full: np.ndarray, bits: int) -> DataFrame:
+    """Distinct phrases of k words at living positions whose counter reaches the minimum; written.
+
+    An eighth of the parts tells its phrases first. Up to KNOWN_PHRASES of them go to all others, which tell
+    only what is not among them: a frequent phrase, which most parts have, is not sent by each.
+    """
+    filters, early = (frequent, full), F.col("part") % _FIRST_OF == 0
+    first = _told(blocks.filter(early), k, filters, bits, {})
+    known: dict[str, set[str]] = {}
+    for r in first.limit(KNOWN_PHRASES).collect():
+        known.setdefault(r["lang"], set()).add(r["phrase"])
+    rest = _told(blocks.filter(~early), k, filters, bits, known)
+    return materialise(first.unionByName(rest).distinct(), "candidates")
+
+
 # Double-array tries --------------------------------------------------------------------
 
 _SEARCH = 1 << 12  # cells looked through at once for a node's place
