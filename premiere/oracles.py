@@ -673,7 +673,7 @@ def oracle_sql() -> dict[str, str]:
         "training_history": """SELECT unnest(['m1', 'm2', 'm3']) AS horizon, true AS all_epochs, true AS all_losses,
             true AS best_is_kept, true AS patient, true AS loss_fell""",
         "demand_model_quality": _with(
-            f"""SELECT forecast, {_r("sum(abs(y - guess)) / greatest(sum(abs(y)), 1e-9::DOUBLE)", "wape")}, true AS model_no_worse
+            f"""SELECT forecast, {_r("sum(abs(y - guess)) / greatest(sum(abs(y)), 1e-9::DOUBLE)", "wape")}, true AS model_below_nothing
             FROM (SELECT m1_qty + m2_qty + m3_qty AS y FROM history JOIN day_split USING (launch_date)
                   WHERE dataset_split = 'test' AND m3_qty IS NOT NULL) t,
                  (SELECT 'nothing' AS forecast, 0::DOUBLE AS guess UNION ALL
