@@ -14,7 +14,7 @@ counts; totals and probabilities are looked up by joins, and a block gets back w
 of one block only are counted there). No task holds more than a block and its look-ups.
 
 Defined cases: NULL texts are empty: one end; rows with a NULL id are never learned from; repeated rows
-count and are scored row by row; without training texts every symbol has probability 1/257; an empty
+count and are scored row by row; a text longer than a block is one block's work, in one chunk; without training texts every symbol has probability 1/257; an empty
 table gives no rows; other columns are ignored.
 """
 

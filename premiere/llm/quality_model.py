@@ -11,7 +11,8 @@ features reach the driver: some 2 MB. Scoring is a sum of table rows per batch,
 
 Defined cases: NULL texts are empty and are scored like any text; rows with a NULL id or label are never
 learned from; without labels of both kinds every score is the share of label 1 (0.5 without any); of
-two different labels of one id both count; repeated rows are scored row by row.
+two different labels of one id both count; repeated rows are scored row by row; a very long text is one row's
+work; an empty table gives no rows. Other columns are kept, but for a `quality_score` of the caller's, which is replaced.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ have too few characters or words has no reference for that histogram, and a docu
 (NULL or '') has none at all: the distance is NULL then and not judged.
 
 Defined cases: a NULL text has no words, symbols or lines and fails the base rules; repeated rows and
-NULL ids are judged row by row; an empty table gives no rows; other columns are ignored.
+NULL ids are judged row by row; a very long text is one row's work in array functions; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
