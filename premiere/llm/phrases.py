@@ -12,7 +12,7 @@ counted from the blocks. Then, for phrases of 2, 3, 4, 5 words:
    counters can only err towards more, so no frequent phrase is lost.
 3. Candidates are dealt by hash into shards of about 2^16. Each becomes a double-array trie over its words:
    state s goes on with symbol c to t = base[s] + c if check[t] = s.
-4. The tries of up to eight shards are broadcast at a time (their number of phrases bounds them); over every
+4. The tries of up to four shards are broadcast at a time (their number of phrases bounds them); over every
    block numpy moves the states of all positions one word on at a time and counts the states at the end.
    More shards take more rounds over the blocks. Counts of tasks are summed by state.
 
@@ -42,13 +42,13 @@ TOP = 2000
 UNKNOWN_LANG = "und"
 
 BLOCK_WORDS = 1 << 18
-OPEN_WORDS = 1 << 20  # of all languages, in blocks not yet written
+OPEN_WORDS = 1 << 19  # of all languages, in blocks not yet written
 WORDS_A_COUNTER = 8
 CHUNK_BITS = 16  # of the counters that are summed together
-OPEN_POSITIONS = 1 << 22  # counted together by a task
+OPEN_POSITIONS = 1 << 20  # counted together by a task
 FILTER_BITS = 25
 TRIE_PHRASES = 1 << 16
-TRIES_AT_ONCE = 8
+TRIES_AT_ONCE = 4
 KNOWN_PHRASES = 1 << 17  # held by a task to send a candidate once
 
 _BREAK = b"."
