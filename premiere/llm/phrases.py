@@ -14,7 +14,8 @@ counted from the blocks. Then, for phrases of 2, 3, 4, 5 words:
    state s goes on with symbol c to t = base[s] + c if check[t] = s.
 4. The tries of up to four shards are broadcast at a time (their number of phrases bounds them); over every
    block numpy moves the states of all positions one word on at a time and counts the states at the end.
-   More shards take more rounds over the blocks. Counts of tasks are summed by state.
+   More shards take more rounds over the blocks. A task's counts travel as vectors over ranges of 2^12
+   states and are summed range by range as they come, so no task holds more than the totals.
 
 Scores, cuts and the dropping of parts are joins over the frequent phrases.
 
@@ -45,6 +46,7 @@ BLOCK_WORDS = 1 << 18
 OPEN_WORDS = 1 << 19  # of all languages, in blocks not yet written
 WORDS_A_COUNTER = 8
 CHUNK_BITS = 16  # of the counters that are summed together
+STATE_BITS = 12  # of the states that are summed together
 OPEN_POSITIONS = 1 << 20  # counted together by a task
 FILTER_BITS = 25
 TRIE_PHRASES = 1 << 16
@@ -245,19 +247,23 @@ def counter_bits(n_words: int) -> int:
     return max(CHUNK_BITS, (max(1, n_words) // WORDS_A_COUNTER).bit_length())
 
 
+def _ranges(met: np.ndarray, n: np.ndarray, bits: int) -> dict[str, pa.Array]:
+    """Numbers met, in order, and their counts as one row per range of 2^bits numbers."""
+    met = met.astype(np.int64)
+    chunk, low = met >> bits, (met & ((1 << bits) - 1)).astype(np.uint16)
+    starts = np.flatnonzero(np.diff(chunk, prepend=-1))
+    ends = np.append(starts[1:], len(met))
+    return {
+        "chunk": pa.array(chunk[starts]),
+        "low": pa.array([low[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+        "n": pa.array([n[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+    }
+
+
 def _counter_rows(counters: list[np.ndarray], least: int, kind: np.dtype) -> pa.RecordBatch:
-    """Counters met and their counts, one row per range of counters."""
+    """Counters met and their counts, which stop at `least`."""
     met, n = np.unique(np.concatenate(counters), return_counts=True)
-    n, chunk = np.minimum(n, least).astype(kind), met >> np.uint64(CHUNK_BITS)
-    starts = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])) if len(met) else np.zeros(0, np.int64)
-    ends = np.append(starts[1:], len(met))
-    low = (met & np.uint64((1 << CHUNK_BITS) - 1)).astype(np.uint16)
-    columns = [
-        pa.array(chunk[starts].astype(np.int64)),
-        pa.array([low[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-        pa.array([n[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["chunk", "low", "n"])
+    return pa.RecordBatch.from_pydict(_ranges(met, np.minimum(n, least).astype(kind), CHUNK_BITS))
 
 
 def full_counters(blocks: DataFrame, k: int, frequent: np.ndarray, least: int, bits: int) -> np.ndarray:
@@ -486,9 +492,26 @@ class Trie:
         return state
 
 
+def _summed(vectors: DataFrame, bits: int) -> DataFrame:
+    """Sums of the tasks' vectors, all of a range's in one task; totals of whole ranges are all it holds."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for shard, chunk, low, n in zip(*(batch.column(c) for c in ("shard", "chunk", "low", "n"))):
+                total = totals.setdefault((shard.as_py(), chunk.as_py()), np.zeros(1 << bits, np.int64))
+                total[np.frombuffer(low.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), np.int64)
+        for (shard, chunk), total in totals.items():
+            seen = np.flatnonzero(total)
+            columns = [np.full(len(seen), shard), seen + (chunk << bits), total[seen]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["shard", "state", "n"])
+
+    return vectors.repartition("shard", "chunk").mapInArrow(add, "shard long, state long, n long")
+
+
 def trie_counts(blocks: DataFrame, tries: DataFrame, k: int) -> DataFrame:
     """(shard, state, n): how often every state at the end of a phrase is reached in the blocks; written."""
-    spark = blocks.sparkSession
+    spark, bits = blocks.sparkSession, STATE_BITS
     shards = sorted(r.shard for r in tries.select("shard").collect())
     counted = None
     for i in range(0, len(shards), TRIES_AT_ONCE):
@@ -509,11 +532,12 @@ def trie_counts(blocks: DataFrame, tries: DataFrame, k: int) -> DataFrame:
                         total += np.bincount(trie.states(lang, words, codes, k), minlength=len(total))
             for trie, total in zip(loaded or (), totals):
                 seen = np.flatnonzero(total)
-                columns = [np.full(len(seen), trie.shard), seen, total[seen]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["shard", "state", "n"])
+                rows = _ranges(seen, total[seen], bits)
+                shard = pa.array(np.full(len(rows["chunk"]), trie.shard, np.int64))
+                yield pa.RecordBatch.from_pydict({"shard": shard, **rows})
 
-        sums = blocks.select("lang", "words", "width", "codes").mapInArrow(run, "shard long, state long, n long")
-        part = materialise(sums.groupBy("shard", "state").agg(F.sum("n").alias("n")), "state-counts")
+        vectors = blocks.select("lang", "words", "width", "codes").mapInArrow(run, "shard long, chunk long, low binary, n binary")
+        part = materialise(_summed(vectors, bits), "state-counts")
         shared.destroy()
         counted = part if counted is None else counted.unionByName(part)
     return counted

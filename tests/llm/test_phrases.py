@@ -52,8 +52,8 @@ def some_rows(seed, n=120):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_phrases_equal_plain_counting(spark, monkeypatch, small):
-    if small:  # many tries, several rounds, many ranges of counters
-        for name, value in {"TRIE_PHRASES": 60, "TRIES_AT_ONCE": 2, "counter_bits": lambda n: 21, "KNOWN_PHRASES": 5}.items():
+    if small:  # many tries, several rounds, many ranges of counters and states
+        for name, value in {"TRIE_PHRASES": 60, "TRIES_AT_ONCE": 2, "counter_bits": lambda n: 21, "KNOWN_PHRASES": 5, "STATE_BITS": 3}.items():
             monkeypatch.setattr(mining, name, value)
     rows = some_rows(5)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(6)
