@@ -179,18 +179,16 @@ def _in_filter(packed: np.ndarray, h: np.ndarray) -> np.ndarray:
     return found
 
 
-def _filter_of(hashes: DataFrame) -> np.ndarray:
-    """The packed filter of the column `h`: 2^FILTER_BITS bits, collected as rows of 32,768."""
+def _places(h: np.ndarray) -> pa.RecordBatch:
+    """The bits that hashes set."""
+    return pa.RecordBatch.from_pydict({"place": np.concatenate([_bits_of(h, f) for f in _FILTER_FACTORS])})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column("h").to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_bits_of(h, f) for f in _FILTER_FACTORS]))], ["place"])
 
+def _filter_of(places: DataFrame) -> np.ndarray:
+    """The packed filter of the bits in `place`: 2^FILTER_BITS bits, collected as rows of 32,768."""
     place = F.col("place") + 1
     rows = (
-        hashes.mapInArrow(run, "place long")
-        .groupBy(F.bitmap_bucket_number(place).alias("number"))
+        places.groupBy(F.bitmap_bucket_number(place).alias("number"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
         .collect()
     )
@@ -210,9 +208,9 @@ def frequent_filter(frequent: DataFrame) -> np.ndarray:
             for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
                 by_lang.setdefault(lang, []).append(phrase)
             for lang, phrases in by_lang.items():
-                yield pa.RecordBatch.from_arrays([pa.array(_phrase_hashes(lang, phrases).view(np.int64))], ["h"])
+                yield _places(_phrase_hashes(lang, phrases))
 
-    return _filter_of(frequent.select("lang", "phrase").mapInArrow(run, "h long"))
+    return _filter_of(frequent.select("lang", "phrase").mapInArrow(run, "place long"))
 
 
 def _alive(codes: np.ndarray, hashes: np.ndarray, k: int, frequent: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -289,10 +287,11 @@ def full_counters(blocks: DataFrame, k: int, frequent: np.ndarray, least: int, b
         total = np.zeros(1 << CHUNK_BITS, np.int64)
         for low, n in zip(rows["low"], rows["n"]):
             total[np.frombuffer(low.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), kind)
-        return pa.table({"h": pa.array(np.flatnonzero(total >= least) + (key[0].as_py() << CHUNK_BITS), pa.int64())})
+        full = np.flatnonzero(total >= least) + (key[0].as_py() << CHUNK_BITS)
+        return pa.Table.from_batches([_places(full.astype(np.uint64))])
 
     parts = blocks.select("hashes", "width", "codes").mapInArrow(count, "chunk long, low binary, n binary")
-    full = _filter_of(parts.groupBy("chunk").applyInArrow(add, "h long"))
+    full = _filter_of(parts.groupBy("chunk").applyInArrow(add, "place long"))
     shared.destroy()
     return full
 
