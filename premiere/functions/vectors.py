@@ -32,7 +32,13 @@ def cosine(a: Column, b: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """The vector scaled to length one; a zero vector stays as it is."""
-    return F.transform(v, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm(v)), F.lit(0.0)))
+
+    def scaled(s: Column) -> Column:
+        return F.transform(s["v"], lambda x: F.coalesce(F.try_divide(x.cast("double"), s["length"]), F.lit(0.0)))
+
+    # Named inside lambdas, the vector and its length are computed once, not once per element.
+    held = F.transform(F.array(v), lambda w: F.struct(w.alias("v"), norm(w).alias("length")))
+    return F.transform(held, scaled)[0]
 
 
 def as_ml_vector(v: Column) -> Column:
@@ -79,12 +85,14 @@ def weighted_title_vectors(
 ) -> DataFrame:
     """Unit-length bag of word buckets, weighted by inverse document frequency. The weights, one per bucket, reach the driver."""
     weights = [r["weight"] for r in frequencies.orderBy("bucket").collect()]
-    weighted = F.transform(
-        F.array(*[F.lit(float(w)) for w in weights]),
-        lambda w, i: w * F.size(F.filter("__buckets", lambda b: b == i)),
-    )
-    with_buckets = df.withColumn("__buckets", word_buckets(F.col(text), len(weights)))
-    return with_buckets.withColumn("__weighted", weighted).withColumn(out, unit(F.col("__weighted")).cast("array<float>")).drop("__buckets", "__weighted")
+
+    def weighted(held: Column) -> Column:
+        every = F.array(*[F.lit(float(w)) for w in weights])
+        return F.transform(every, lambda w, i: w * F.size(F.filter(held, lambda b: b == i)))
+
+    # Named inside one lambda, a title's buckets are computed once, not once per dimension.
+    vector = F.transform(F.array(word_buckets(F.col(text), len(weights))), weighted)[0]
+    return df.withColumn(out, unit(vector).cast("array<float>"))
 
 
 def encoded_title_vectors(

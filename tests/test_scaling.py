@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from premiere.config import DemandConfig
-from premiere.functions import text
+from premiere.functions import text, vectors
 from premiere.operators import history, kernels
 from premiere.sources import adapters
 from premiere.sources.orders import ORDER_LINE_KEY, keep_one
@@ -113,3 +113,20 @@ def test_grid_of_many_products_is_small():
 
     for cfg in (queries.SIMILARITY, queries.DEMAND):
         assert similarity.grid_side(120_000, 200, cfg.grid_rows) == similarity.grid_side(1_200_000, 200, cfg.grid_rows) == 20
+
+
+def test_weighted_title_vectors_are_computed_once(spark):
+    """Length one or none, as by hand; a title's words are hashed once, not once per dimension and element."""
+    titles = spark.createDataFrame([("a", "red red fox"), ("b", "blue fox"), ("c", None)], "product_id string, product_name string")
+    weights = vectors.document_frequencies(titles, dimensions=16)
+    got = vectors.weighted_title_vectors(titles, weights)
+    known = {r.bucket: r.weight for r in weights.collect()}
+    held = titles.select("product_id", vectors.word_buckets(F.col("product_name"), 16).alias("b")).collect()
+    for r in held:
+        plain = np.array([known[i] * r.b.count(i) for i in range(16)])
+        length = np.sqrt((plain**2).sum()) or 1.0
+        found = got.filter(F.col("product_id") == r.product_id).first().product_embedding
+        np.testing.assert_allclose(found, plain / length, atol=1e-6)
+    # The digest of the words stands outside the loops over dimensions.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1, plan
