@@ -130,3 +130,21 @@ def test_weighted_title_vectors_are_computed_once(spark):
     # The digest of the words stands outside the loops over dimensions.
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5(") == 1, plan
+
+
+def test_stages_of_the_session_outlive_a_batch(spark):
+    """A stage or model first asked for inside a stream's batch is still there after it; the batch's own stages are not."""
+    from premiere import queries
+    from premiere.session import materialise, scratch_scope
+
+    rows = spark.range(3)
+    with scratch_scope(spark):
+        own = materialise(rows, "own")
+        stage = queries._stage(spark, "batch-test", "kept", lambda: materialise(rows, "inner"))
+        model = queries._fitted(spark, "batch-test", "model", lambda: materialise(rows, "model"))
+        assert own.count() == 3
+        path = own.inputFiles()[0]
+    assert stage.count() == model.count() == 3
+    assert queries._stage(spark, "batch-test", "kept", lambda: None).count() == 3
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    assert not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
