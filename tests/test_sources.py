@@ -70,6 +70,32 @@ def test_copies_of_a_line_collapse_to_the_same_row_in_any_order(spark):
         assert sorted((r.quantity, r.unit) for r in out) == [(2.0, "box"), (3.0, "ea")]
 
 
+def test_of_copies_the_smallest_clean_name_then_category_stays(spark):
+    # As given, " Zeta" is the smallest name; cleaned, "alpha" is. A tab keeps "memory card" out of its category.
+    items = [item(name=" Zeta"), item(name="Alpha"), item(id="p2", name="Memory Card X"), item(id="p2", name="memory\tcard x")]
+    for given in (items, items[::-1]):
+        out = orders.lines_from_orders(raw(spark, [("a", "c", "1", 4, json.dumps(given))])).collect()
+        got = sorted((r.product_id, r.product_name, r.brand, r.functional_category) for r in out)
+        assert got == [("p1", "alpha", "alpha", "other"), ("p2", "memory card x", "memory", "other")]
+
+
+def test_json_is_parsed_once_per_sales_row(spark):
+    sales = spark.range(3).selectExpr(
+        "string(id) AS customer_id", "'2024-01-05' AS order_date",
+        "to_json(named_struct('id', string(id), 'qty', '2')) AS product", "'JBL' AS product_name", "'Audio' AS product_category",
+    )
+    out = orders.lines_from_sales(sales)
+    assert out.count() == 3
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_the_union_sorts_its_lines_after_the_shuffle_only(spark, folder):
+    both = orders.order_lines("union", adapters.raw_orders(spark, folder), adapters.raw_sales(spark, folder))
+    plan = both._jdf.queryExecution().sparkPlan().toString()
+    union = plan[: plan.index("Union")]
+    assert "REPARTITION_BY_COL" in union and "SortAggregate" not in union[union.index("REPARTITION_BY_COL") :]
+
+
 def test_order_times(spark):
     given = ["86400", "1970-01-03 01:02:03", "", "never", None]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(given)], "i int, v string")
