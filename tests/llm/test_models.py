@@ -258,3 +258,13 @@ def test_ppm_without_training_and_without_rows(spark):
     got = {r.doc_id: r.score for r in ppm.score_texts(docs, F.lit(False)).collect()}
     assert got == pytest.approx({1: -3 * math.log10(257), 2: -math.log10(257)})
     assert ppm.score_texts(empty(spark), F.lit(True)).count() == 0
+
+
+def test_texts_are_split_and_stripped_once_for_the_quality_counts(spark):
+    docs = spark.createDataFrame([(1, "Ab 12 #é."), (2, None)], "doc_id long, text string").selectExpr("*", "'x' AS language", "true AS frequent")
+    common = spark.createDataFrame([("x", True, ["ab"])], "language string, frequent boolean, common array<string>")
+    out = quality_rules.measured(docs, common, False)
+    first = out.filter("doc_id = 1").first()
+    assert (first.word_chars, first.class_counts, first.word_counts) == (7, [2.0, 1.0, 2.0, 1.0], [1.0, 2.0])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(lower(" not in plan and plan.count("split(coalesce(text") == 1 and plan.count("regexp_replace(") == 4
