@@ -1,6 +1,7 @@
 """Steps that were mended for size: same rows as the plain form, with less carried along."""
 
 import datetime as dt
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from premiere.config import DemandConfig
 from premiere.functions import text, vectors
-from premiere.operators import history, kernels
+from premiere.operators import history, kernels, point_in_time
 from premiere.sources import adapters
 from premiere.sources.orders import ORDER_LINE_KEY, keep_one
 
@@ -148,3 +149,32 @@ def test_stages_of_the_session_outlive_a_batch(spark):
     assert queries._stage(spark, "batch-test", "kept", lambda: None).count() == 3
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     assert not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _reach(spark):
+    """Lines and launches of few customers, brands and categories, some of them unknown."""
+    lines = spark.range(600).selectExpr(
+        "IF(id % 41 = 0, NULL, CAST(id % 37 AS STRING)) customer_id", "date_add(DATE'2024-01-01', CAST(id % 23 AS INT)) order_date",
+        "IF(id % 11 = 0, NULL, CONCAT('b', id % 5)) brand", "IF(id % 13 = 0, NULL, CONCAT('c', id % 3)) functional_category",
+    )
+    asked = spark.range(60).selectExpr(
+        "CAST(id AS STRING) product_id", "IF(id % 7 = 0, NULL, CONCAT('b', id % 6)) brand", "IF(id % 9 = 0, NULL, CONCAT('c', id % 4)) functional_category",
+        "IF(id = 5, NULL, date_add(DATE'2024-01-01', CAST(id % 20 AS INT))) launch_date",
+    )
+    want = {}
+    sold = [r for r in lines.collect() if r.customer_id]
+    for q in asked.collect():
+        met = {r.customer_id for r in sold if q.launch_date and r.order_date < q.launch_date and (
+            (q.brand and r.brand == q.brand) or (q.functional_category and r.functional_category == q.functional_category))}
+        want[q.product_id] = len(met)
+    return lines, asked, want
+
+
+def test_customers_are_dealt_once(spark):
+    """Brands and categories of a customer meet where the customer lies: no shuffle by customer and key."""
+    lines, asked, want = _reach(spark)
+    out = point_in_time.eligible_customers(asked, lines)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(customer_id" in plan
+    assert not re.search(r"hashpartitioning\(customer_id#\d+, (brand|functional_category)", plan)
+    assert {r.product_id: r.eligible_customer_count for r in out.collect()} == want
