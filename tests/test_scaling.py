@@ -178,3 +178,13 @@ def test_customers_are_dealt_once(spark):
     assert "hashpartitioning(customer_id" in plan
     assert not re.search(r"hashpartitioning\(customer_id#\d+, (brand|functional_category)", plan)
     assert {r.product_id: r.eligible_customer_count for r in out.collect()} == want
+
+
+def test_products_carry_no_sketches(spark):
+    """Sketches are estimated once per brand, category and day; products meet numbers."""
+    lines, asked, want = _reach(spark)
+    out = point_in_time.eligible_customers_sketched(asked, lines)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    estimates = [line for line in plan if "hll_sketch_estimate" in line]
+    assert estimates and not any("product_id" in line for line in estimates)
+    assert {r.product_id: r.eligible_customer_count for r in out.collect()} == want
