@@ -8,6 +8,7 @@ import pyarrow as pa
 from premiere.config import DemandConfig
 from premiere.operators import history, kernels, point_in_time, similarity
 from premiere.session import materialise
+from premiere.sources import adapters, orders
 
 DAY0 = dt.date(2020, 1, 1)
 
@@ -110,3 +111,13 @@ def test_lines_are_dealt_by_customer_once(spark):
     assert _plan(out).count("hashpartitioning(customer_id") == 1
     met = lines.filter("(brand = 'b1' OR functional_category = 'c1') AND order_date < DATE'2024-01-09'")
     assert out.first().eligible_customer_count == met.select("customer_id").distinct().count()
+
+
+def test_the_lines_of_both_sources_are_not_shuffled_to_meet(spark, folder):
+    """Orders and sales lie by order_id when they are united; sales are dealt before ids and names are worked out."""
+    both = orders.order_lines("union", adapters.raw_orders(spark, folder), adapters.raw_sales(spark, folder))
+    rows = both.count()
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Union")]
+    two = [orders.order_lines("sales_order", orders=adapters.raw_orders(spark, folder)), orders.order_lines("sales", sales=adapters.raw_sales(spark, folder))]
+    assert rows == two[0].unionByName(two[1]).select(*orders.ORDER_LINE_KEY).distinct().count()
