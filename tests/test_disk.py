@@ -111,6 +111,10 @@ def test_lines_are_dealt_by_customer_once(spark):
     assert _plan(out).count("hashpartitioning(customer_id") == 1
     met = lines.filter("(brand = 'b1' OR functional_category = 'c1') AND order_date < DATE'2024-01-09'")
     assert out.first().eligible_customer_count == met.select("customer_id").distinct().count()
+    # What several runs look back on is dealt when it is written, and not again.
+    first = materialise(point_in_time.first_purchases(lines), "first", by="customer_id")
+    again = point_in_time.eligible_customers(asked, None, first)
+    assert "hashpartitioning(customer_id" not in _plan(again) and again.collect() == out.collect()
 
 
 def test_the_lines_of_both_sources_are_not_shuffled_to_meet(spark, folder):
